@@ -27,7 +27,7 @@ TOKEN_RULES: list[tuple[str, str]] = [
     (r'([;@#$%&?!"()\[\]{}<>]|--+|\.\.\.)', " $1 "),
     (r"([:,])([^0-9])", " $1 $2"),
     (r"([^.])\.([ \t\n\x0B\f\r])", "$1 . $2"),
-    (r"([^' ])('s|'m|'d|'ll|'re|'ve|n't|') ", "$1 $2 "),
+    (r"([^' ])('(?:s|m|d|ll|re|ve)?|n't) ", "$1 $2 "),
 ]
 # Fused words and their parts. Replaced twice, because neighbouring
 # matches share a space.
@@ -41,6 +41,7 @@ FUSED_WORDS: list[tuple[str, str]] = [
     (" 'tis ", " 't is "),
     (" 'twas ", " 't was "),
 ]
+ANY_FUSED = " (?:cannot|gimme|gonna|gotta|lemme|wanna|'tis|'twas) "
 SPACE = r"[ \t\n\x0B\f\r]+"
 HAS_ALNUM = "[A-Za-z0-9]"
 
@@ -50,9 +51,16 @@ def tokens(text: Column) -> Column:
     spaced = F.concat(F.lit(" "), F.lower(text), F.lit(" "))
     for pattern, repl in TOKEN_RULES:
         spaced = F.regexp_replace(spaced, pattern, repl)
+    # a one-element transform names the spaced text, so that it is computed once
+    parted = F.get(F.transform(F.array(spaced), _part_fused), F.lit(0))
+    return F.filter(F.split(parted, SPACE), lambda t: t != "")
+
+
+def _part_fused(text: Column) -> Column:
+    out = text
     for fused, parts in FUSED_WORDS * 2:
-        spaced = F.replace(spaced, F.lit(fused), F.lit(parts))
-    return F.filter(F.split(spaced, SPACE), lambda t: t != "")
+        out = F.replace(out, F.lit(fused), F.lit(parts))
+    return F.when(text.rlike(ANY_FUSED), out).otherwise(text)
 
 
 def is_alnum(token: Column) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from termloom.functions import kernels as K
 from termloom.operators.distance import eps_neighbors, eps_tiles
 from termloom.operators.tiles import BLOCK_ROWS, run_tiles
-from termloom.session import hot_split_join, materialise, with_row_index
+from termloom.session import hot_split_join, materialise, stored, with_row_index
 
 NOISE = -1
 # Links that one task may finish on its own, once they are known to be this few.
@@ -98,9 +98,9 @@ def dbscan(
 
     A border row goes to the lowest-numbered cluster it touches.
     """
-    stored = materialise(items, "vectors")
-    counts = materialise(eps_neighbors(stored, eps, min_samples, metric, block_rows), "counts")
-    flagged = materialise(stored.join(counts.select("id", F.col("is_core").alias("core")), "id"), "flagged")
+    items = stored(items, "vectors")
+    counts = materialise(eps_neighbors(items, eps, min_samples, metric, block_rows), "counts")
+    flagged = materialise(items.join(counts.select("id", F.col("is_core").alias("core")), "id"), "flagged")
     tiled, keys, n_tiles = eps_tiles(flagged, eps, metric, block_rows)
     schema = "u bigint, v bigint, core boolean"
     links = materialise(run_tiles(tiled, keys, n_tiles, K.eps_edges_kernel(metric, eps), schema), "links")
@@ -111,7 +111,7 @@ def dbscan(
         core.join(linked, "node", "left").select("node", F.coalesce("root", "node").alias("root")), "roots"
     )
     sizes = roots.groupBy("root").agg(F.count("*").alias("n"))
-    numbered = with_row_index(sizes, "root", name="cluster")
+    numbered, _ = with_row_index(sizes, "root", name="cluster")
     core_cluster = materialise(
         hot_split_join(roots, numbered, "root", "n").select("node", F.col("cluster").cast("int").alias("cluster")),
         "core_cluster",

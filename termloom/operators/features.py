@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from termloom.operators.terms import lexical_diversity, tfidf
-from termloom.session import hot_split_join
+from termloom.session import hot_split_join, new_table_path, stored, with_row_index
 
 DIVERSITY = "__diversity"
 NUM_WORDS = "__num_words"
@@ -67,3 +68,26 @@ def sparse_rows(matrix: DataFrame) -> DataFrame:
     cell = F.when(F.col("value") != 0, F.struct("feature", "value"))
     packed = matrix.groupBy("doc_id").agg(F.collect_list(cell).alias("c"))
     return packed.select("doc_id", F.col("c.feature").alias("idx"), F.col("c.value").alias("val"))
+
+
+def sparse_vectors(matrix: DataFrame) -> tuple[DataFrame, int]:
+    """(doc_id, features ML vector) and the vector width, one position per feature.
+
+    Rows are written in the storage layout of the ML vector type and read back as
+    that type, so no Python code touches them.
+    """
+    from pyspark.ml.linalg import VectorUDT
+
+    matrix = stored(matrix, "matrix")
+    names, width = with_row_index(matrix.groupBy("feature").agg(F.count("*").alias("n_cells")), "feature", name="at")
+    cells = hot_split_join(matrix, names, "feature", "n_cells")
+    cell = F.when(F.col("value") != 0, F.struct(F.col("at").cast("int").alias("at"), "value"))
+    packed = cells.groupBy("doc_id").agg(F.sort_array(F.collect_list(cell)).alias("c"))
+    layout = F.struct(
+        F.lit(0).cast("tinyint").alias("type"), F.lit(width).alias("size"),
+        F.col("c.at").alias("indices"), F.col("c.value").alias("values"),
+    )
+    schema = StructType([StructField("doc_id", matrix.schema["doc_id"].dataType), StructField("features", VectorUDT())])
+    path = new_table_path(matrix.sparkSession, "features")
+    packed.select("doc_id", layout.alias("features")).write.parquet(path)
+    return matrix.sparkSession.read.schema(schema).parquet(path), width

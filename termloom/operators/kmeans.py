@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termloom.functions import kernels as K
-from termloom.session import hot_split_join, materialise
+from termloom.operators.features import sparse_vectors
+from termloom.session import hot_split_join, materialise, narrow, stored
 
 CLUSTERS = 25
 REPEATS = 3
@@ -55,9 +56,9 @@ def _shift(old: np.ndarray, new: np.ndarray, metric: str) -> float:
 
 def lloyd(rows: DataFrame, means: np.ndarray, metric: str = "euclidean", max_iter: int = 50) -> np.ndarray:
     """Repeat assignment and update until the means move less than 1e-6 in total."""
-    stored = materialise(rows.select("id", "vec"), "vectors")
+    rows = stored(narrow(rows, "id", "vec"), "vectors")
     for _ in range(max_iter):
-        new = update_means(assign(stored, means, metric), means)
+        new = update_means(assign(rows, means, metric), means)
         moved = _shift(means, new, metric)
         means = new
         if moved < CONVERGED:
@@ -69,92 +70,125 @@ def fit_predict(
     rows: DataFrame, k: int = CLUSTERS, repeats: int = REPEATS, metric: str = "euclidean",
     seed: int = 1, max_iter: int = 100,
 ) -> DataFrame:
-    """(id, cluster, cost) by Spark ML k-means over (id, vec); of ``repeats`` seeded
-    runs the one with the lowest cost. Zero vectors, which have no direction, are
-    put in cluster 0 under the cosine measure."""
+    """(id, cluster, cost) by Spark ML k-means over (id, features ML vector); of
+    ``repeats`` seeded runs the one with the lowest cost. Zero vectors, which have no
+    direction, are put in cluster 0 under the cosine measure."""
     from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.storagelevel import StorageLevel
 
-    width = F.size("vec")
-    widest = rows.agg(F.coalesce(F.max(width), F.lit(0))).first()[0]
-    if widest * k > CENTROID_CELLS:
-        raise ValueError("centroids are too large to ship: use the sparse form, which joins them")
-    stored = materialise(rows.select("id", array_to_vector("vec").alias("features"),
-                                     F.exists("vec", lambda v: v != 0).alias("nonzero")), "features")
-    usable = stored.where("nonzero") if metric == "cosine" else stored
-    usable = usable.persist()
+    usable, zeros = rows.select("id", "features"), None
+    if metric == "cosine":
+        nonzero = F.exists(vector_to_array("features"), lambda v: v != 0)
+        usable, zeros = usable.where(nonzero), usable.where(~nonzero)
+    usable = usable.persist(StorageLevel.MEMORY_AND_DISK)
     runs = [
         KMeans(k=k, distanceMeasure=metric, seed=seed + i, maxIter=max_iter, tol=CONVERGED).fit(usable)
         for i in range(repeats)
     ]
-    usable.unpersist()
     best = min(runs, key=lambda m: m.summary.trainingCost)
     out = best.transform(usable).select("id", F.col("prediction").alias("cluster"))
-    if metric == "cosine":
-        out = out.unionByName(stored.where(~F.col("nonzero")).select("id", F.lit(0).alias("cluster")))
-    return out.withColumn("cost", F.lit(best.summary.trainingCost))
+    if zeros is not None:
+        out = out.unionByName(zeros.select("id", F.lit(0).alias("cluster")))
+    out = materialise(out.withColumn("cost", F.lit(best.summary.trainingCost)), "kmeans")
+    usable.unpersist()
+    return out
+
+
+def dense_features(rows: DataFrame, k: int = CLUSTERS) -> DataFrame:
+    """(id, features) from (id, vec), after checking that ``k`` centroids can be shipped."""
+    from pyspark.ml.functions import array_to_vector
+
+    widest = rows.agg(F.coalesce(F.max(F.size("vec")), F.lit(0))).first()[0]
+    if widest * k > CENTROID_CELLS:
+        raise ValueError("centroids are too large to ship: use the sparse form, which joins them")
+    return rows.select("id", array_to_vector("vec").alias("features"))
+
+
+def cluster_documents(
+    cells: DataFrame, k: int = CLUSTERS, repeats: int = REPEATS, metric: str = "euclidean",
+    seed: int = 1, max_iter: int = 100, limit: int = CENTROID_CELLS,
+) -> DataFrame:
+    """(id, cluster) for a long-form matrix (doc_id, feature, value).
+
+    While ``k`` centroids over the vocabulary stay within ``limit`` cells, Spark ML
+    runs on sparse vectors; a larger vocabulary takes the joined form.
+    """
+    cells = stored(cells, "cells")
+    width = cells.agg(F.countDistinct("feature")).first()[0]
+    if width * k <= limit:
+        vectors, _ = sparse_vectors(cells)
+        return fit_predict(vectors.withColumnRenamed("doc_id", "id"), k, repeats, metric, seed, max_iter).drop("cost")
+    return sparse_lloyd(cells, k, metric, max_iter, seed).withColumnRenamed("doc_id", "id")
 
 
 # Sparse rows: centroids live in a table (feature, m array<double>[k]).
 
-def sparse_lloyd(cells: DataFrame, k: int = CLUSTERS, metric: str = "euclidean", max_iter: int = 10, seed: int = 1) -> DataFrame:
+def sparse_lloyd(
+    cells: DataFrame, k: int = CLUSTERS, metric: str = "euclidean", max_iter: int = 10, seed: int | None = None
+) -> DataFrame:
     """(doc_id, cluster) for long-form rows (doc_id, feature, value).
 
     Centroids are as wide as the vocabulary, so they are a table joined on the
-    feature; the driver holds k norms and counts. Starting means are ``k`` rows in
-    seeded hash order. Each round: join and sum dot products per document, pick the
-    nearest mean, sum members per (feature, cluster).
+    feature; the driver holds k norms and counts. Starting means are the ``k`` rows
+    lowest in id order, or in seeded hash order. Each round: join and sum dot products
+    per document, pick the nearest mean, sum members per (feature, cluster).
     """
-    cells = materialise(cells.where(F.col("value") != 0).select("doc_id", "feature", "value"), "cells")
-    norms = materialise(
-        cells.groupBy("doc_id").agg(F.sum(F.col("value") * F.col("value")).alias("sq"), F.count("*").alias("n_cells")),
-        "norms",
-    )
-    weights = materialise(cells.groupBy("feature").agg(F.count("*").alias("n_cells")), "weights")
-    first = [r["doc_id"] for r in norms.orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(k).collect()]
+    cells = stored(cells, "cells")
+    norms = materialise(cells.groupBy("doc_id").agg(F.sum(F.col("value") * F.col("value")).alias("sq")), "norms")
+    order = ["doc_id"] if seed is None else [F.xxhash64(F.lit(seed), "doc_id"), "doc_id"]
+    first = [row["doc_id"] for row in norms.orderBy(*order).limit(k).collect()]
     k = len(first)
     chosen = F.create_map(*[x for i, d in enumerate(first) for x in (F.lit(d), F.lit(i))])
-    start = cells.where(F.col("doc_id").isin(first)).select("feature", F.element_at(chosen, F.col("doc_id")).alias("c"), "value")
-    means = materialise(_wide(start.groupBy("feature").agg(*_per_cluster(k, "c", "value")), k), "means")
-    counts = np.zeros(k)
+    start = cells.where(F.col("doc_id").isin(first)).select(
+        "feature", F.element_at(chosen, F.col("doc_id")).alias("c"), "value"
+    )
+    weights = cells.groupBy("feature").agg(F.count("*").alias("n_cells"))
+    placed = start.groupBy("feature").agg(*_per_cluster(k, "c", "value"))
+    zero = F.array_repeat(F.lit(0.0), k)
+    # one row per feature for all rounds: (feature, n_cells, old, m)
+    means = materialise(
+        weights.join(_wide(placed, k), "feature", "left").select(
+            "feature", "n_cells", zero.alias("old"), F.coalesce("m", zero).alias("m")
+        ),
+        "means",
+    )
     for step in range(max_iter + 1):
-        sq = means.agg(*[F.coalesce(F.sum(F.pow(F.get("m", F.lit(c)), F.lit(2))), F.lit(0.0)).alias(f"c{c}") for c in range(k)]).first()
-        table = means.join(weights, "feature")
-        hits = hot_split_join(cells, table.select("feature", "m", "n_cells"), "feature", "n_cells")
+        sums = [F.sum(F.pow(F.get("m", F.lit(c)), F.lit(2))).alias(f"s{c}") for c in range(k)]
+        gaps = [F.sum(F.pow(F.get("m", F.lit(c)) - F.get("old", F.lit(c)), F.lit(2))).alias(f"g{c}") for c in range(k)]
+        state = means.agg(*sums, *gaps).first()
+        sq, moved = state[:k], sum(g ** 0.5 for g in state[k:])
+        if step and moved < CONVERGED:
+            break
+        hits = hot_split_join(cells, narrow(means, "feature", "m", "n_cells"), "feature", "n_cells")
         dots = hits.groupBy("doc_id").agg(
             *[F.sum(F.col("value") * F.get("m", F.lit(c))).alias(f"c{c}") for c in range(k)]
         )
-        scored = norms.join(dots, "doc_id", "left")
         scores = []
         for c in range(k):
-            dot = F.coalesce(F.col(f"c{c}"), F.lit(0.0))
             if metric == "cosine":
-                d = F.lit(1.0) - F.coalesce(F.try_divide(dot, F.sqrt("sq") * F.lit(sq[c] ** 0.5)), F.lit(0.0))
+                cos = F.try_divide(F.col(f"c{c}"), F.sqrt("sq") * F.lit(sq[c] ** 0.5))
+                d = F.lit(1.0) - F.coalesce(cos, F.lit(0.0))
             else:
-                d = F.lit(sq[c]) - 2 * dot
+                d = F.lit(sq[c]) - 2 * F.col(f"c{c}")
             scores.append(F.struct(d.alias("d"), F.lit(c).alias("c")))
-        assigned = materialise(scored.select("doc_id", F.array_min(F.array(*scores))["c"].alias("cluster"), "n_cells"), "assigned")
+        assigned = materialise(
+            norms.join(dots, "doc_id").select("doc_id", F.array_min(F.array(*scores))["c"].alias("cluster")), "assigned"
+        )
         if step == max_iter:
             break
         counts = np.zeros(k)
-        for r in assigned.groupBy("cluster").agg(F.count("*").alias("n")).collect():
-            counts[r["cluster"]] = r["n"]
-        members = cells.join(assigned.select("doc_id", "cluster"), "doc_id")
-        sums = _wide(members.groupBy("feature").agg(*_per_cluster(k, "cluster", "value")), k).withColumnRenamed("m", "s")
-        zero = F.array_repeat(F.lit(0.0), k)
-        both = means.join(sums, "feature", "full").select(
-            "feature", F.coalesce("m", zero).alias("old"), F.coalesce("s", zero).alias("s")
-        )
+        for row in assigned.groupBy("cluster").agg(F.count("*").alias("n")).collect():
+            counts[row["cluster"]] = row["n"]
+        members = cells.join(assigned, "doc_id").groupBy("feature").agg(*_per_cluster(k, "cluster", "value"))
+        total = _wide(members, k).withColumnRenamed("m", "s")
         ones = F.array(*[F.lit(1.0 + n) for n in counts])
-        moved = F.transform("old", lambda o, c: (o + F.get("s", c)) / F.get(ones, c))
-        new = materialise(both.select("feature", "old", moved.alias("m")), "means")
-        gap = new.agg(*[
-            F.sum(F.pow(F.get("m", F.lit(c)) - F.get("old", F.lit(c)), F.lit(2))).alias(f"c{c}") for c in range(k)
-        ]).first()
-        means = new.select("feature", "m")
-        if sum(g ** 0.5 for g in gap) < CONVERGED:
-            break
-    return assigned.select("doc_id", "cluster")
+        new = F.transform("m", lambda o, c: (o + F.get("s", c)) / F.get(ones, c))
+        means = materialise(
+            means.drop("old").join(total, "feature").select("feature", "n_cells", F.col("m").alias("old"), new.alias("m")),
+            "means",
+        )
+    return assigned
 
 
 def _per_cluster(k: int, cluster: str, value: str):

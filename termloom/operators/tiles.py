@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termloom.functions.kernels import guarded
-from termloom.session import hot_split_join
+from termloom.session import hot_split_join, materialise
 
 BLOCK_ROWS = 2000
 MIN_BLOCK_ROWS = 64
@@ -101,12 +101,14 @@ def range_tiles(items: DataFrame, position: Column, radius: float, block_rows: i
         "subs", F.ceil(F.col("n_rows") / rows).cast("int")
     )
     shifted = lambda by, name: cells.select((F.col("cell") + by).alias("cell"), F.col("subs").alias(name))
+    cells = materialise(cells, "cells")
     near = (
         cells.join(shifted(-1, "subs_up"), "cell", "left")
         .join(shifted(1, "subs_down"), "cell", "left")
         .na.fill(0, ["subs_up", "subs_down"])
     )
     sub = hash_block(F.col("subs"), "id")
+    near = materialise(near, "near")
     joined = hot_split_join(placed, near, "cell", "n_rows").withColumn("sub", sub)
 
     def tiles(count: Column, make) -> Column:

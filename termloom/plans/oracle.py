@@ -196,6 +196,25 @@ pairs AS (
          sqrt(greatest(a.s + b.s - 2 * coalesce(g, 0), 0)) AS d
   FROM sq a JOIN sq b ON a.doc_id <> b.doc_id LEFT JOIN dots ON dots.i = a.doc_id AND dots.j = b.doc_id)"""
 
+DOCKM = SCALED + """,
+start AS (SELECT doc_id, CAST(row_number() OVER (ORDER BY doc_id) - 1 AS INTEGER) AS c FROM documents ORDER BY doc_id LIMIT 25),
+m0 AS (SELECT c, feature, value AS m FROM scaled JOIN start USING (doc_id)),
+q0 AS (SELECT c, sum(m * m) AS q FROM m0 GROUP BY c),
+t0 AS (SELECT s.doc_id, m0.c, sum(s.value * m) AS g FROM scaled s JOIN m0 USING (feature) GROUP BY ALL),
+a0 AS (
+  SELECT doc_id, arg_min(c, (q - 2 * coalesce(g, 0), c)) AS c
+  FROM documents CROSS JOIN q0 LEFT JOIN t0 USING (doc_id, c) GROUP BY doc_id),
+n0 AS (SELECT c, count(*) AS n FROM a0 GROUP BY c),
+s0 AS (SELECT c, feature, sum(value) AS s FROM scaled JOIN a0 USING (doc_id) GROUP BY ALL),
+m1 AS (
+  SELECT c, feature, (coalesce(m, 0) + coalesce(s, 0)) / (1.0 + coalesce(n, 0)) AS m
+  FROM m0 FULL JOIN s0 USING (c, feature) LEFT JOIN n0 USING (c)),
+q1 AS (SELECT c, sum(m * m) AS q FROM m1 GROUP BY c),
+t1 AS (SELECT s.doc_id, m1.c, sum(s.value * m) AS g FROM scaled s JOIN m1 USING (feature) GROUP BY ALL),
+a1 AS (
+  SELECT doc_id, arg_min(c, (q - 2 * coalesce(g, 0), c)) AS c
+  FROM documents CROSS JOIN q1 LEFT JOIN t1 USING (doc_id, c) GROUP BY doc_id)"""
+
 HASH32 = "CAST('0x' || substr(h, 7, 2) || substr(h, 5, 2) || substr(h, 3, 2) || substr(h, 1, 2) AS BIGINT)"
 
 
@@ -337,6 +356,7 @@ SELECT min(doc_id) AS first_id, count(*) AS n_docs FROM whole GROUP BY s"""
     sql["minhash_table_roundtrip"] = f"WITH {sig} SELECT doc_id, 1 AS seed, 128 AS num_perm, slot, hv FROM sig"
 
     sql["kmeans_assign"] = f"WITH {KM} SELECT vec_id, cluster, round(d, 6) + 0.0 AS d FROM asg"
+    sql["kmeans_documents_assign"] = f"WITH {DOCKM} SELECT doc_id, c AS cluster FROM a1"
     sql["cluster_sizes"] = f"WITH {KM} SELECT cluster, count(*) AS n FROM cl GROUP BY cluster"
     report = KM + "," + _report("cl")
     sql["cluster_label_counts"] = f"WITH {report} SELECT cluster, label, n FROM lab"

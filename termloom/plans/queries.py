@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from termloom.functions import text as X
 from termloom.functions.hashing import sha1_hash32
 from termloom.operators import classify, dbscan, distance, features, kmeans, minhash, quality, similarity, terms
-from termloom.session import materialise, new_table_path, spread
+from termloom.session import materialise, narrow, new_table_path, spread
 from termloom.sources import corpus, html, sinks
 
 EPS = 0.40
@@ -246,7 +246,7 @@ def dedupe_by_id(spark, d):
 # Distances.
 
 def _profile(spark, d, metric):
-    got = distance.distance_profile(vectors_of(spark, d).select("id", "vec"), metric)
+    got = distance.distance_profile(narrow(vectors_of(spark, d), "id", "vec"), metric)
     return got.select(
         F.col("id").alias("vec_id"), "n_others", r("mean_d").alias("mean_d"), r("min_d").alias("min_d"), r("max_d").alias("max_d")
     )
@@ -264,7 +264,7 @@ def pairwise_cosine(spark, d):
 
 @query
 def eps_neighbors(spark, d):
-    got = distance.eps_neighbors(vectors_of(spark, d).select("id", "vec"), EPS, MIN_SAMPLES)
+    got = distance.eps_neighbors(narrow(vectors_of(spark, d), "id", "vec"), EPS, MIN_SAMPLES)
     return got.select(F.col("id").alias("vec_id"), "n_neighbors", F.col("is_core").cast("int").alias("is_core"))
 
 
@@ -346,26 +346,35 @@ def kmeans_assign(spark, d):
 
 @query
 def kmeans_fit(spark, d):
-    got = kmeans.fit_predict(vectors_of(spark, d), repeats=kmeans.REPEATS)
+    got = kmeans.fit_predict(kmeans.dense_features(vectors_of(spark, d)))
     return got.groupBy("cluster").agg(F.count("*").alias("n"), F.first("cost").alias("cost"))
 
 
 @query
 def kmeans_fit_cosine(spark, d):
-    got = kmeans.fit_predict(vectors_of(spark, d), repeats=kmeans.REPEATS, metric="cosine")
+    got = kmeans.fit_predict(kmeans.dense_features(vectors_of(spark, d)), metric="cosine")
     return got.groupBy("cluster").agg(F.count("*").alias("n"), F.first("cost").alias("cost"))
 
 
 @query
 def kmeans_documents(spark, d):
+    """The whole job: features of labelled articles, k-means, report per cluster."""
     rows, cells = doc_vectors_of(spark, d)
-    rows = materialise(rows, "rows")
-    got = kmeans.sparse_lloyd(cells, kmeans.CLUSTERS, max_iter=5)
-    assigned = materialise(rows.join(got.withColumnRenamed("doc_id", "id"), "id"), "assigned")
+    got = kmeans.cluster_documents(cells)
+    assigned = materialise(rows.join(got, "id"), "assigned")
     width = cells.select("feature").distinct().count()
-    return quality.cluster_sizes(assigned).join(quality.cluster_entropy(assigned), "cluster").join(
+    report = quality.cluster_sizes(assigned).join(quality.cluster_entropy(assigned), "cluster").join(
         quality.sparse_cluster_variance(assigned, width), "cluster"
     )
+    mean = quality.silhouette(narrow(assigned, "id", "idx", "val", "cluster")).select("silhouette").scalar()
+    return report.withColumn("silhouette", mean)
+
+
+@query
+def kmeans_documents_assign(spark, d):
+    """Joined form: one mean update from the 25 lowest article ids, then assignment."""
+    _, cells = doc_vectors_of(spark, d)
+    return kmeans.sparse_lloyd(cells, kmeans.CLUSTERS, max_iter=1)
 
 
 def _labels_of(got):
@@ -374,7 +383,7 @@ def _labels_of(got):
 
 @query
 def dbscan_euclidean(spark, d):
-    return _labels_of(dbscan.dbscan(vectors_of(spark, d).select("id", "vec"), EPS, MIN_SAMPLES))
+    return _labels_of(dbscan.dbscan(narrow(vectors_of(spark, d), "id", "vec"), EPS, MIN_SAMPLES))
 
 
 REGISTRY["dbscan"] = REGISTRY.pop("dbscan_euclidean")
@@ -382,7 +391,7 @@ REGISTRY["dbscan"] = REGISTRY.pop("dbscan_euclidean")
 
 @query
 def dbscan_cosine(spark, d):
-    return _labels_of(dbscan.dbscan(vectors_of(spark, d).select("id", "vec"), EPS_COSINE, MIN_SAMPLES, "cosine"))
+    return _labels_of(dbscan.dbscan(narrow(vectors_of(spark, d), "id", "vec"), EPS_COSINE, MIN_SAMPLES, "cosine"))
 
 
 @query
@@ -416,7 +425,7 @@ def cluster_variance(spark, d):
 
 @query
 def silhouette(spark, d):
-    return quality.silhouette(clustered(spark, d).select("id", "vec", "cluster")).select(
+    return quality.silhouette(narrow(clustered(spark, d), "id", "vec", "cluster")).select(
         "n_clusters", r("silhouette").alias("silhouette")
     )
 
@@ -431,9 +440,9 @@ def cluster_report(spark, d):
 @query
 def dbscan_report(spark, d):
     rows = vectors_of(spark, d)
-    got = dbscan.dbscan(rows.select("id", "vec"), EPS, MIN_SAMPLES)
+    got = dbscan.dbscan(narrow(rows, "id", "vec"), EPS, MIN_SAMPLES)
     assigned = materialise(rows.join(got, "id"), "assigned")
-    mean = quality.silhouette(assigned.select("id", "vec", "cluster")).select("silhouette").scalar()
+    mean = quality.silhouette(narrow(assigned, "id", "vec", "cluster")).select("silhouette").scalar()
     return quality.cluster_report(assigned).select(
         "cluster", "n", r("entropy").alias("entropy"), r("variance", 9).alias("variance"), r(mean).alias("silhouette")
     )
@@ -443,7 +452,7 @@ def dbscan_report(spark, d):
 
 def _split_vectors(spark, d):
     rows = materialise(classify.train_test_split(vectors_of(spark, d), "id"), "split")
-    return rows.where("is_train"), rows.where(~F.col("is_train"))
+    return narrow(rows, where="is_train"), narrow(rows, where=~F.col("is_train"))
 
 
 @query
@@ -485,7 +494,7 @@ def knn_accuracy_cosine(spark, d):
 def knn_documents(spark, d):
     rows, _ = doc_vectors_of(spark, d)
     split = materialise(classify.train_test_split(rows, "id"), "split")
-    train, test = split.where("is_train"), split.where(~F.col("is_train"))
+    train, test = narrow(split, where="is_train"), narrow(split, where=~F.col("is_train"))
     near = classify.knn_neighbors(train, test, max(KNN_SIZES))
     got = classify.accuracy(classify.knn_classify(near, train, KNN_SIZES), test)
     return got.select("k", "n_test", r("accuracy").alias("accuracy"))
@@ -498,3 +507,13 @@ def dtree_classify(spark, d):
     train, test = _split_vectors(spark, d)
     ready = lambda df: df.select("label", array_to_vector("vec").alias("features"))
     return classify.dtree_classify(ready(train), ready(test))
+
+
+@query
+def dtree_documents(spark, d):
+    docs = corpus.labelled(docs_of(spark, d))
+    _, cells = doc_vectors_of(spark, d)
+    vectors, _ = features.sparse_vectors(cells)
+    rows = vectors.join(docs.select("doc_id", "label"), "doc_id")
+    split = classify.train_test_split(rows, "doc_id")
+    return classify.dtree_classify(split.where("is_train"), split.where(~F.col("is_train")), max_bins=32)

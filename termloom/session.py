@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Rows a broadcast "hot key" table may hold (see hot_split_join).
@@ -44,7 +44,24 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """
     path = new_table_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return _mark(df.sparkSession.read.schema(df.schema).parquet(path))
+
+
+def _mark(df: DataFrame) -> DataFrame:
+    df._termloom_stored = True
+    return df
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` itself when it is a narrow view of a stored table, else a stored copy."""
+    return df if getattr(df, "_termloom_stored", False) else materialise(df, name)
+
+
+def narrow(df: DataFrame, *columns: Column | str, where: Column | str | None = None) -> DataFrame:
+    """Project and filter; a view of a stored table still counts as stored."""
+    out = df if where is None else df.where(where)
+    out = out.select(*columns) if columns else out
+    return _mark(out) if getattr(df, "_termloom_stored", False) else out
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
@@ -67,22 +84,25 @@ def hot_split_join(
 ) -> DataFrame:
     """Inner-join ``rows`` to a table with one row per ``key``, safe under skew.
 
-    ``weight`` in ``lookup`` is the number of ``rows`` with that key. A key is hot
-    when its weight is at least total/limit; weights add up to the total, so at
-    most ``limit`` keys can be hot and that side may be broadcast. All other keys
-    hold less than total/limit rows each and go through a plain shuffle join.
+    The lookup is stored and counted; up to ``limit`` rows it is broadcast. Beyond
+    that only its hot keys are: ``weight`` is the number of ``rows`` with the key, a
+    key is hot when its weight is at least total/limit, and because weights add up to
+    the total at most ``limit`` keys can be hot. All other keys hold less than
+    total/limit rows each and go through a plain shuffle join.
     """
-    total = lookup.agg(F.coalesce(F.sum(weight), F.lit(0)).alias("t")).scalar()
-    is_hot: Column = F.col(weight) * F.lit(limit) >= total
-    hot = F.broadcast(lookup.where(is_hot))
-    cold = lookup.where(~is_hot)
+    table = stored(lookup, "lookup")
+    n_keys, total = table.agg(F.count("*"), F.coalesce(F.sum(weight), F.lit(0))).first()
+    if n_keys <= limit:
+        return rows.join(F.broadcast(table), key)
+    is_hot: Column = F.col(weight) * F.lit(limit) >= F.lit(total)
+    hot = F.broadcast(table.where(is_hot))
     by_broadcast = rows.join(hot, key)
-    by_shuffle = rows.join(hot.select(key), key, "left_anti").join(cold, key)
+    by_shuffle = rows.join(hot.select(key), key, "left_anti").join(table.where(~is_hot), key)
     return by_broadcast.unionByName(by_shuffle)
 
 
-def with_row_index(df: DataFrame, *order: str, name: str = "row_index") -> DataFrame:
-    """Number rows 0..n-1 in a global order without a one-task window.
+def with_row_index(df: DataFrame, *order: str, name: str = "row_index") -> tuple[DataFrame, int]:
+    """Number rows 0..n-1 in a global order without a one-task window; also returns n.
 
     Rows are range-partitioned by ``order`` and stored; each partition is numbered
     on its own and shifted by the sizes of the partitions before it. The only
@@ -91,16 +111,13 @@ def with_row_index(df: DataFrame, *order: str, name: str = "row_index") -> DataF
     spark = df.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     ranged = materialise(
-        df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()),
-        "ranged",
+        df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()), "ranged"
     )
     sizes = {r["_part"]: r["n"] for r in ranged.groupBy("_part").agg(F.count("*").alias("n")).collect()}
     starts, seen = [], 0
     for p in range(parts):
         starts.append(seen)
         seen += sizes.get(p, 0)
-    from pyspark.sql import Window
-
     in_part = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
     offset = F.element_at(F.array(*[F.lit(s).cast("bigint") for s in starts]), F.col("_part") + 1)
-    return ranged.withColumn(name, offset + in_part - 1).drop("_part")
+    return ranged.withColumn(name, offset + in_part - 1).drop("_part"), seen
