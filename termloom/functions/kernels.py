@@ -64,7 +64,11 @@ def list_parts(table: pa.Table, name: str):
 
 
 def sparse_gram(table, left, right, vals: bool, width: int = CHUNK) -> np.ndarray:
-    """Dot products of sparse rows, over chunks of the features both sides have."""
+    """Dot products of sparse rows, over chunks of the features both sides have.
+
+    A row has each feature once. Without ``vals`` the rows are sets and the products
+    are counts, which single precision holds exactly.
+    """
     names, row_of, _ = list_parts(table, "idx")
     gram = np.zeros((len(left), len(right)))
     if len(names) == 0:
@@ -74,7 +78,7 @@ def sparse_gram(table, left, right, vals: bool, width: int = CHUNK) -> np.ndarra
     if vals:
         v = table.column("val").combine_chunks().flatten().to_numpy(zero_copy_only=False)
     else:
-        v = np.ones(len(codes))
+        v = np.ones(len(codes), np.float32)
     n_rows, n_codes = table.num_rows, len(encoded.dictionary)
     at_left, at_right = np.full(n_rows, -1), np.full(n_rows, -1)
     at_left[left], at_right[right] = np.arange(len(left)), np.arange(len(right))
@@ -85,13 +89,15 @@ def sparse_gram(table, left, right, vals: bool, width: int = CHUNK) -> np.ndarra
     in_right[codes[pr >= 0]] = True
     shared &= in_right
     recode = np.where(shared, np.cumsum(shared) - 1, -1)[codes]
-    for lo in range(0, int(shared.sum()), width):
+    n_shared = int(shared.sum())
+    for lo in range(0, n_shared, width):
         here = (recode >= lo) & (recode < lo + width)
-        a, b = np.zeros((len(left), width)), np.zeros((len(right), width))
+        wide = min(width, n_shared - lo)
+        a, b = np.zeros((len(left), wide), v.dtype), np.zeros((len(right), wide), v.dtype)
         m = here & (pl >= 0)
-        np.add.at(a, (pl[m], recode[m] - lo), v[m])
+        a[pl[m], recode[m] - lo] = v[m]
         m = here & (pr >= 0)
-        np.add.at(b, (pr[m], recode[m] - lo), v[m])
+        b[pr[m], recode[m] - lo] = v[m]
         gram += a @ b.T
     return gram
 
@@ -318,11 +324,7 @@ def similarity_kernel(ks: tuple[int, ...]):
                 value, err = true, np.zeros(len(left))
             else:
                 sig = dense_ints(table, f"sig{k}")
-                hits = np.zeros(true.shape, np.int32)
-                a, b = sig[left], sig[right]
-                for s in range(k):
-                    hits += a[:, s][:, None] == b[:, s][None, :]
-                value = hits / k
+                value = equal_slots(sig[left], sig[right]) / k
                 err = np.where(pairs, (value - true) ** 2, 0.0).sum(axis=1)
             value = np.where(self_pair, 0.0, value)
             views = [(ids[left], value, err)]
@@ -336,6 +338,20 @@ def similarity_kernel(ks: tuple[int, ...]):
     return run
 
 
+def equal_slots(a: np.ndarray, b: np.ndarray, rows: int = 64) -> np.ndarray:
+    """Number of equal slots of each pair of sketches, a few left rows at a time so
+    that the counters stay in cache."""
+    a, b = a.astype(np.uint32), np.ascontiguousarray(b.T.astype(np.uint32))
+    hits = np.zeros((len(a), b.shape[1]), np.uint16 if len(b) < 1 << 16 else np.uint32)
+    for lo in range(0, len(a), rows):
+        part, out = a[lo:lo + rows], hits[lo:lo + rows]
+        same = np.empty(out.shape, bool)
+        for s in range(len(b)):
+            np.equal(part[:, s, None], b[s], out=same)
+            np.add(out, same.view(np.uint8), out=out)
+    return hits
+
+
 def dense_ints(table: pa.Table, name: str) -> np.ndarray:
     arr = table.column(name).combine_chunks()
     return arr.flatten().to_numpy(zero_copy_only=False).reshape(len(arr), -1)

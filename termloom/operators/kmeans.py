@@ -160,7 +160,9 @@ def sparse_lloyd(
         sq, moved = state[:k], sum(g ** 0.5 for g in state[k:])
         if step and moved < CONVERGED:
             break
-        hits = hot_split_join(cells, narrow(means, "feature", "m", "n_cells"), "feature", "n_cells")
+        # a broadcast holds at most CENTROID_CELLS numbers
+        limit = max(CENTROID_CELLS // k, 1)
+        hits = hot_split_join(cells, narrow(means, "feature", "m", "n_cells"), "feature", "n_cells", limit)
         dots = hits.groupBy("doc_id").agg(
             *[F.sum(F.col("value") * F.get("m", F.lit(c))).alias(f"c{c}") for c in range(k)]
         )

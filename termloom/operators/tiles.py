@@ -25,7 +25,7 @@ MIN_BLOCK_ROWS = 64
 def block_count(df: DataFrame, n_rows: int, block_rows: int = BLOCK_ROWS) -> int:
     """Blocks of at most about ``block_rows`` rows, and enough tiles for all cores."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    for_cores = min(math.ceil(math.sqrt(4 * cores)), math.ceil(n_rows / MIN_BLOCK_ROWS))
+    for_cores = min(math.ceil(math.sqrt(12 * cores)), math.ceil(n_rows / MIN_BLOCK_ROWS))
     return max(1, math.ceil(n_rows / block_rows), for_cores)
 
 
@@ -95,7 +95,9 @@ def range_tiles(items: DataFrame, position: Column, radius: float, block_rows: i
         lo, hi = 0.0, 0.0
     # as many rows per sub-block as give every core a few tiles
     rows = min(block_rows, math.ceil(max(n, 1) / block_count(items, max(n, 1), block_rows)))
-    width = max(radius * (1 + 1e-9), (hi - lo) * rows / max(n, 1), 1e-300)
+    # wider than the radius by more than the rounding of positions
+    slack = 1e-12 * max(abs(lo), abs(hi))
+    width = max(radius * (1 + 1e-6) + slack, (hi - lo) * rows / max(n, 1), 1e-300)
     placed = placed.withColumn("cell", F.floor((F.col("_p") - lo) / width).cast("bigint")).drop("_p")
     cells = placed.groupBy("cell").agg(F.count("*").alias("n_rows")).withColumn(
         "subs", F.ceil(F.col("n_rows") / rows).cast("int")

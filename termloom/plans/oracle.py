@@ -154,12 +154,36 @@ ab AS (
 sil AS (SELECT avg(CASE WHEN b IS NULL THEN NULL WHEN own_n = 1 THEN 0 ELSE coalesce((b - a) / nullif(greatest(a, b), 0), 0) END) AS s FROM ab)"""
 
 
+DOCPAIRS = SCALED + """,
+sq AS (SELECT doc_id, sum(value * value) AS s FROM scaled GROUP BY doc_id),
+dots AS (
+  SELECT a.doc_id AS i, b.doc_id AS j, sum(a.value * b.value) AS g
+  FROM scaled a JOIN scaled b ON a.feature = b.feature AND a.doc_id <> b.doc_id
+  WHERE a.value <> 0 AND b.value <> 0 GROUP BY ALL),
+pairs AS (
+  SELECT a.doc_id AS i, b.doc_id AS j,
+         CASE WHEN a.s + b.s - 2 * coalesce(g, 0) < 1e-13 * (a.s + b.s) THEN 0.0
+              ELSE sqrt(a.s + b.s - 2 * coalesce(g, 0)) END AS d
+  FROM sq a JOIN sq b ON a.doc_id <> b.doc_id LEFT JOIN dots ON dots.i = a.doc_id AND dots.j = b.doc_id)"""
+
 SPLIT = VEC + """,
 ranked AS (SELECT *, row_number() OVER (ORDER BY vec_id) AS rn, count(*) OVER () AS total FROM vec),
 train AS (SELECT * FROM ranked WHERE rn <= floor(total * 0.6)),
 test AS (SELECT * FROM ranked WHERE rn > floor(total * 0.6))"""
 
 
+DOCSPLIT = DOCPAIRS + """,
+ranked AS (
+  SELECT doc_id AS vec_id, lang AS label, row_number() OVER (ORDER BY doc_id) AS rn, count(*) OVER () AS total FROM documents),
+train AS (SELECT * FROM ranked WHERE rn <= floor(total * 0.6)),
+test AS (SELECT * FROM ranked WHERE rn > floor(total * 0.6)),
+nn AS (
+  SELECT i AS query_id, rank, j AS vec_id, label FROM (
+    SELECT i, j, t.label, row_number() OVER (PARTITION BY i ORDER BY d, j) AS rank
+    FROM pairs JOIN test ON test.vec_id = i JOIN (SELECT vec_id, label FROM train) t ON t.vec_id = j)
+  WHERE rank <= 25)"""
+
+
 def _knn(metric: str, k: int) -> str:
     return SPLIT + f""",
 nn AS (
@@ -170,8 +194,7 @@ nn AS (
   WHERE rank <= {k})"""
 
 
-def _votes(metric: str) -> str:
-    return _knn(metric, 25) + """,
+PRED = """,
 pred AS (
   SELECT query_id, k, label AS predicted FROM (
     SELECT query_id, k, label, row_number() OVER (PARTITION BY query_id, k ORDER BY count(*) DESC, label) AS o
@@ -179,23 +202,12 @@ pred AS (
   WHERE o = 1)"""
 
 
-def _accuracy(metric: str) -> str:
-    return f"""WITH {_votes(metric)}
+def _accuracy(neighbours: str) -> str:
+    return f"""WITH {neighbours}{PRED}
 SELECT CAST(k AS INTEGER) AS k, count(*) AS n_test, round(avg(CAST(predicted = label AS INTEGER)), 6) + 0.0 AS accuracy
 FROM pred JOIN test ON test.vec_id = pred.query_id GROUP BY k"""
 
 
-DOCVEC = SCALED + """,
-sq AS (SELECT doc_id, sum(value * value) AS s FROM scaled GROUP BY doc_id),
-dots AS (
-  SELECT a.doc_id AS i, b.doc_id AS j, sum(a.value * b.value) AS g
-  FROM scaled a JOIN scaled b ON a.feature = b.feature AND a.doc_id <> b.doc_id
-  WHERE a.value <> 0 AND b.value <> 0 GROUP BY ALL),
-pairs AS (
-  SELECT a.doc_id AS i, b.doc_id AS j,
-         sqrt(greatest(a.s + b.s - 2 * coalesce(g, 0), 0)) AS d
-  FROM sq a JOIN sq b ON a.doc_id <> b.doc_id LEFT JOIN dots ON dots.i = a.doc_id AND dots.j = b.doc_id)"""
-
 DOCKM = SCALED + """,
 start AS (SELECT doc_id, CAST(row_number() OVER (ORDER BY doc_id) - 1 AS INTEGER) AS c FROM documents ORDER BY doc_id LIMIT 25),
 m0 AS (SELECT c, feature, value AS m FROM scaled JOIN start USING (doc_id)),
@@ -370,8 +382,30 @@ SELECT (SELECT count(*) FROM size) AS n_clusters, round(s, 6) + 0.0 AS silhouett
 
     sql["dbscan"] = f"WITH RECURSIVE {db} SELECT id AS vec_id, cluster, is_core FROM db"
     sql["dbscan_cosine"] = f"WITH RECURSIVE {_dbscan(_pairs('cosine'), vec_ids, 0.30, 3)} SELECT id AS vec_id, cluster, is_core FROM db"
-    sql["dbscan_documents"] = f"""WITH RECURSIVE {_dbscan(DOCVEC, 'SELECT doc_id AS id FROM documents', 0.2, 3)}
+    sql["dbscan_documents"] = f"""WITH RECURSIVE {_dbscan(DOCPAIRS, 'SELECT doc_id AS id FROM documents', 0.2, 3)}
 SELECT id AS doc_id, cluster, is_core FROM db"""
+    sql["dbscan_documents_report"] = f"""WITH RECURSIVE {_dbscan(DOCPAIRS, 'SELECT doc_id AS id FROM documents', 0.2, 3)},
+dcl AS (SELECT id, cluster, lang AS label FROM db JOIN documents ON doc_id = id),
+lab AS (SELECT cluster, label, count(*) AS n FROM dcl GROUP BY ALL),
+tot AS (SELECT cluster, count(*) AS n FROM dcl GROUP BY cluster),
+ent AS (SELECT cluster, -sum(lab.n / tot.n * ln(lab.n / tot.n)) AS entropy FROM lab JOIN tot USING (cluster) GROUP BY cluster),
+var AS (
+  SELECT cluster, CASE WHEN any_value(n) < 2 THEN 0.0
+    ELSE sum(value * value) / any_value(n * w) - pow(sum(value) / any_value(n * w), 2) END AS variance
+  FROM scaled JOIN dcl ON dcl.id = doc_id JOIN tot USING (cluster), (SELECT count(DISTINCT feature) AS w FROM matrix)
+  GROUP BY cluster),
+tosum AS (
+  SELECT a.id AS vec_id, a.cluster AS own, b.cluster AS other, sum(pairs.d) AS s
+  FROM pairs JOIN dcl a ON a.id = i JOIN dcl b ON b.id = j GROUP BY ALL),
+ab AS (
+  SELECT vec_id, any_value(o.n) AS own_n,
+         max(CASE WHEN own = other THEN s / nullif(o.n - 1, 0) END) AS a,
+         min(CASE WHEN own <> other THEN s / z.n END) AS b
+  FROM tosum JOIN tot o ON o.cluster = own JOIN tot z ON z.cluster = other GROUP BY vec_id),
+sil AS (SELECT avg(CASE WHEN own_n = 1 THEN 0 ELSE coalesce((b - a) / nullif(greatest(a, b), 0), 0) END) AS s FROM ab)
+SELECT cluster, tot.n, round(entropy, 6) + 0.0 AS entropy, round(variance, 9) + 0.0 AS variance,
+       round((SELECT s FROM sil), 6) + 0.0 AS silhouette
+FROM tot JOIN ent USING (cluster) JOIN var USING (cluster)"""
     dcl = "dcl AS (SELECT vec_id, cluster, label, x FROM db JOIN vec ON vec.vec_id = db.id)"
     sql["dbscan_report"] = f"""WITH RECURSIVE {db},{dcl},{_report('dcl')},{_silhouette('dcl')}
 {whole}, round((SELECT s FROM sil), 6) + 0.0 AS silhouette {tables}"""
@@ -379,7 +413,8 @@ SELECT id AS doc_id, cluster, is_core FROM db"""
     sql["train_test_split"] = """SELECT doc_id, CAST(row_number() OVER (ORDER BY doc_id) <= floor(count(*) OVER () * 0.6) AS INTEGER) AS is_train
 FROM documents"""
     sql["knn_neighbors"] = f"WITH {_knn('euclidean', 5)} SELECT query_id, rank, vec_id, round(d, 6) + 0.0 AS d FROM nn"
-    sql["knn_classify"] = f"WITH {_votes('euclidean')} SELECT query_id AS vec_id, CAST(k AS INTEGER) AS k, predicted FROM pred"
-    sql["knn_accuracy"] = _accuracy("euclidean")
-    sql["knn_accuracy_cosine"] = _accuracy("cosine")
+    sql["knn_classify"] = f"WITH {_knn('euclidean', 25)}{PRED} SELECT query_id AS vec_id, CAST(k AS INTEGER) AS k, predicted FROM pred"
+    sql["knn_accuracy"] = _accuracy(_knn("euclidean", 25))
+    sql["knn_accuracy_cosine"] = _accuracy(_knn("cosine", 25))
+    sql["knn_documents"] = _accuracy(DOCSPLIT)
     return sql

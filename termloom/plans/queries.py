@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from termloom.functions import text as X
 from termloom.functions.hashing import sha1_hash32
 from termloom.operators import classify, dbscan, distance, features, kmeans, minhash, quality, similarity, terms
+from termloom.plans import jobs
 from termloom.session import materialise, narrow, new_table_path, spread
 from termloom.sources import corpus, html, sinks
 
@@ -46,15 +47,6 @@ def vectors_of(spark, d):
     return materialise(features.l2_normalize_vectors(raw, "vec"), "embeddings")
 
 
-def doc_vectors_of(spark, d):
-    """Column-normalised TF-IDF rows of labelled articles as (id, idx, val, label)."""
-    docs = corpus.labelled(docs_of(spark, d))
-    matrix = materialise(features.feature_matrix(terms.stored_bags(docs)), "matrix")
-    scaled = materialise(features.l2_normalize_columns(matrix), "scaled")
-    rows = features.sparse_rows(scaled).join(docs.select("doc_id", "label"), "doc_id")
-    return rows.withColumnRenamed("doc_id", "id"), scaled
-
-
 def clustered(spark, d):
     """Embeddings with the cluster after one mean update from the 25 lowest ids."""
     rows = vectors_of(spark, d)
@@ -98,14 +90,12 @@ def tagged_record_scan(spark, d):
 
 @query
 def wordcount_vector_lines(spark, d):
-    docs = docs_of(spark, d)
-    return sinks.wordcount_lines(docs, terms.stored_bags(docs))
+    return jobs.word_count_vectors(docs_of(spark, d))
 
 
 @query
 def tfidf_vector_lines(spark, d):
-    docs = docs_of(spark, d)
-    return sinks.tfidf_lines(docs, terms.tfidf(terms.stored_bags(docs)), digits=6)
+    return jobs.tfidf_vectors(docs_of(spark, d), digits=6)
 
 
 @query
@@ -286,7 +276,7 @@ def minhash_jaccard(spark, d):
 
 @query
 def minhash_mse(spark, d):
-    return similarity.error_study(bags_of(spark, d)).select("k", "n_pairs", r("mse", 9).alias("mse"))
+    return jobs.similarity_study(docs_of(spark, d)).select("k", "n_pairs", r("mse", 9).alias("mse"))
 
 
 @query
@@ -358,22 +348,13 @@ def kmeans_fit_cosine(spark, d):
 
 @query
 def kmeans_documents(spark, d):
-    """The whole job: features of labelled articles, k-means, report per cluster."""
-    rows, cells = doc_vectors_of(spark, d)
-    got = kmeans.cluster_documents(cells)
-    assigned = materialise(rows.join(got, "id"), "assigned")
-    width = cells.select("feature").distinct().count()
-    report = quality.cluster_sizes(assigned).join(quality.cluster_entropy(assigned), "cluster").join(
-        quality.sparse_cluster_variance(assigned, width), "cluster"
-    )
-    mean = quality.silhouette(narrow(assigned, "id", "idx", "val", "cluster")).select("silhouette").scalar()
-    return report.withColumn("silhouette", mean)
+    return jobs.kmeans_report(docs_of(spark, d))
 
 
 @query
 def kmeans_documents_assign(spark, d):
     """Joined form: one mean update from the 25 lowest article ids, then assignment."""
-    _, cells = doc_vectors_of(spark, d)
+    _, cells = jobs.scaled_features(docs_of(spark, d))
     return kmeans.sparse_lloyd(cells, kmeans.CLUSTERS, max_iter=1)
 
 
@@ -396,11 +377,20 @@ def dbscan_cosine(spark, d):
 
 @query
 def dbscan_documents(spark, d):
-    rows, _ = doc_vectors_of(spark, d)
-    got = dbscan.dbscan(rows.select("id", "idx", "val"), 0.2, MIN_SAMPLES)
+    rows, _ = jobs.scaled_features(docs_of(spark, d))
+    got = dbscan.dbscan(narrow(rows, "id", "idx", "val"), 0.2, MIN_SAMPLES)
     return got.select(F.col("id").alias("doc_id"), "cluster", F.col("is_core").cast("int").alias("is_core"))
 
 
+@query
+def dbscan_documents_report(spark, d):
+    """The whole job: features of labelled articles, DBSCAN, report per cluster."""
+    got = jobs.dbscan_report(docs_of(spark, d))
+    return got.select(
+        "cluster", "n", r("entropy").alias("entropy"), r("variance", 9).alias("variance"), r("silhouette").alias("silhouette")
+    )
+
+
 # Cluster quality.
 
 @query
@@ -492,12 +482,8 @@ def knn_accuracy_cosine(spark, d):
 
 @query
 def knn_documents(spark, d):
-    rows, _ = doc_vectors_of(spark, d)
-    split = materialise(classify.train_test_split(rows, "id"), "split")
-    train, test = narrow(split, where="is_train"), narrow(split, where=~F.col("is_train"))
-    near = classify.knn_neighbors(train, test, max(KNN_SIZES))
-    got = classify.accuracy(classify.knn_classify(near, train, KNN_SIZES), test)
-    return got.select("k", "n_test", r("accuracy").alias("accuracy"))
+    """The whole job: features of labelled articles, split, neighbours, accuracy."""
+    return jobs.knn_accuracy(docs_of(spark, d)).select("k", "n_test", r("accuracy").alias("accuracy"))
 
 
 @query
@@ -511,9 +497,4 @@ def dtree_classify(spark, d):
 
 @query
 def dtree_documents(spark, d):
-    docs = corpus.labelled(docs_of(spark, d))
-    _, cells = doc_vectors_of(spark, d)
-    vectors, _ = features.sparse_vectors(cells)
-    rows = vectors.join(docs.select("doc_id", "label"), "doc_id")
-    split = classify.train_test_split(rows, "doc_id")
-    return classify.dtree_classify(split.where("is_train"), split.where(~F.col("is_train")), max_bins=32)
+    return jobs.dtree_accuracy(docs_of(spark, d))

@@ -113,11 +113,12 @@ def with_row_index(df: DataFrame, *order: str, name: str = "row_index") -> tuple
     ranged = materialise(
         df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()), "ranged"
     )
-    sizes = {r["_part"]: r["n"] for r in ranged.groupBy("_part").agg(F.count("*").alias("n")).collect()}
+    sizes = ranged.groupBy("_part").agg(F.count("*").alias("n")).orderBy("_part").collect()
     starts, seen = [], 0
-    for p in range(parts):
-        starts.append(seen)
-        seen += sizes.get(p, 0)
+    for row in sizes:
+        starts.append((row["_part"], seen))
+        seen += row["n"]
+    offsets = F.broadcast(spark.createDataFrame(starts, "_part int, _start bigint"))
     in_part = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
-    offset = F.element_at(F.array(*[F.lit(s).cast("bigint") for s in starts]), F.col("_part") + 1)
-    return ranged.withColumn(name, offset + in_part - 1).drop("_part"), seen
+    numbered = ranged.join(offsets, "_part").withColumn(name, F.col("_start") + in_part - 1)
+    return numbered.drop("_part", "_start"), seen
