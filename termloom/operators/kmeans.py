@@ -154,10 +154,12 @@ def sparse_lloyd(
         "means",
     )
     for step in range(max_iter + 1):
-        sums = [F.sum(F.pow(F.get("m", F.lit(c)), F.lit(2))).alias(f"s{c}") for c in range(k)]
-        gaps = [F.sum(F.pow(F.get("m", F.lit(c)) - F.get("old", F.lit(c)), F.lit(2))).alias(f"g{c}") for c in range(k)]
-        state = means.agg(*sums, *gaps).first()
-        sq, moved = state[:k], sum(g ** 0.5 for g in state[k:])
+        pairs = means.select(F.posexplode(F.arrays_zip("old", "m")).alias("c", "e"))
+        change = F.col("e.m") - F.col("e.old")
+        state = pairs.groupBy("c").agg(
+            F.sum(F.col("e.m") * F.col("e.m")).alias("sq"), F.sum(change * change).alias("gap")
+        ).collect()
+        sq, moved = {row["c"]: row["sq"] for row in state}, sum(row["gap"] ** 0.5 for row in state)
         if step and moved < CONVERGED:
             break
         # a broadcast holds at most CENTROID_CELLS numbers
