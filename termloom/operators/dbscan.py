@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termloom.functions import kernels as K
-from termloom.operators.distance import eps_neighbors, eps_tiles
-from termloom.operators.tiles import BLOCK_ROWS, run_tiles
-from termloom.session import hot_split_join, materialise, stored, with_row_index
+from termloom.operators.distance import count_neighbors, place_by_eps
+from termloom.operators.tiles import BLOCK_ROWS, RANGE_KEYS, range_tiles, run_tiles
+from termloom.session import hot_split_join, materialise, with_row_index
 
 NOISE = -1
 # Links that one task may finish on its own, once they are known to be this few.
@@ -98,12 +98,11 @@ def dbscan(
 
     A border row goes to the lowest-numbered cluster it touches.
     """
-    items = stored(items, "vectors")
-    counts = materialise(eps_neighbors(items, eps, min_samples, metric, block_rows), "counts")
-    flagged = materialise(items.join(counts.select("id", F.col("is_core").alias("core")), "id"), "flagged")
-    tiled, keys, n_tiles = eps_tiles(flagged, eps, metric, block_rows)
-    schema = "u bigint, v bigint, core boolean"
-    links = materialise(run_tiles(tiled, keys, n_tiles, K.eps_edges_kernel(metric, eps), schema), "links")
+    placed, n_tiles = place_by_eps(items, eps, metric, block_rows)
+    counts = materialise(count_neighbors(placed, n_tiles, eps, min_samples, metric), "counts")
+    flagged = placed.join(counts.select("id", F.col("is_core").alias("core")), "id")
+    kernel, schema = K.eps_edges_kernel(metric, eps), "u bigint, v bigint, core boolean"
+    links = materialise(run_tiles(range_tiles(flagged), RANGE_KEYS, n_tiles, kernel, schema), "links")
 
     linked = connected_components(links.where("core"), local_edges)
     core = counts.where("is_core").select(F.col("id").alias("node"))

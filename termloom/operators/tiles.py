@@ -78,8 +78,10 @@ def cross_pass(
     return run_tiles(tiled, ["ti", "tj"], nl * nr, kernel, schema)
 
 
-def range_tiles(items: DataFrame, position: Column, radius: float, block_rows: int = BLOCK_ROWS):
-    """Place rows in the tiles that can hold pairs within ``radius``.
+def place_in_cells(
+    items: DataFrame, position: Column, radius: float, block_rows: int = BLOCK_ROWS
+) -> tuple[DataFrame, int]:
+    """Deal rows to cells so that pairs within ``radius`` meet in few tiles.
 
     ``position`` must change by at most the distance between two rows, so rows
     within ``radius`` lie in the same cell of width >= radius or in the next one.
@@ -87,7 +89,7 @@ def range_tiles(items: DataFrame, position: Column, radius: float, block_rows: i
     wide as needed to hold ``block_rows`` rows on average, so a tiny radius does not
     make a tile per row. ``items`` must be a stored table.
 
-    Returns the placed rows, the tile keys and the number of tiles.
+    Returns the stored rows with their place, for ``range_tiles``, and the number of tiles.
     """
     placed = items.withColumn("_p", position)
     lo, hi, n = placed.agg(F.min("_p"), F.max("_p"), F.count("*")).first()
@@ -111,7 +113,18 @@ def range_tiles(items: DataFrame, position: Column, radius: float, block_rows: i
     )
     sub = hash_block(F.col("subs"), "id")
     near = materialise(near, "near")
-    joined = hot_split_join(placed, near, "cell", "n_rows").withColumn("sub", sub)
+    up_tiles = F.col("subs") * (F.col("subs") + 1) / 2 + F.col("subs") * F.col("subs_up")
+    n_tiles = int(near.agg(F.coalesce(F.sum(up_tiles), F.lit(0))).first()[0])
+    joined = hot_split_join(placed, near, "cell", "n_rows").withColumn("sub", sub).drop("n_rows")
+    return materialise(joined, "placed"), max(n_tiles, 1)
+
+
+RANGE_KEYS = ["c1", "s1", "c2", "s2"]
+
+
+def range_tiles(placed: DataFrame) -> DataFrame:
+    """Send placed rows to the tiles of their own and the neighbouring cells; the tile
+    key is the pair of (cell, sub-block)."""
 
     def tiles(count: Column, make) -> Column:
         return F.when(count > 0, F.transform(F.sequence(F.lit(0), count - 1), make)).otherwise(F.array())
@@ -123,12 +136,9 @@ def range_tiles(items: DataFrame, position: Column, radius: float, block_rows: i
     own = tiles(F.col("subs"), lambda s: key(cell, F.least(s0, s), cell, F.greatest(s0, s)))
     up = tiles(F.col("subs_up"), lambda s: key(cell, s0, cell + 1, s))
     down = tiles(F.col("subs_down"), lambda s: key(cell - 1, s, cell, s0))
-    out = joined.withColumn("_t", F.explode(F.concat(own, up, down)))
-    out = out.select("*", "_t.*").select(
+    out = placed.withColumn("_t", F.explode(F.concat(own, up, down)))
+    return out.select("*", "_t.*").select(
         "*",
         ((F.col("cell") == F.col("c1")) & (F.col("sub") == F.col("s1"))).alias("left"),
         ((F.col("c1") == F.col("c2")) & (F.col("s1") == F.col("s2"))).alias("diag"),
-    ).drop("_t", "cell", "sub", "subs", "subs_up", "subs_down", "n_rows")
-    up_tiles = F.col("subs") * (F.col("subs") + 1) / 2 + F.col("subs") * F.col("subs_up")
-    n_tiles = int(near.agg(F.coalesce(F.sum(up_tiles), F.lit(0))).first()[0])
-    return out, ["c1", "s1", "c2", "s2"], max(n_tiles, 1)
+    ).drop("_t", "cell", "sub", "subs", "subs_up", "subs_down")
