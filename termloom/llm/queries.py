@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from termloom.llm import packing
+from pyspark.sql import functions as F
+
+from termloom.llm import decontaminate, hilbert, language, lines, packing, pseudonyms, rollup, sketch, tokens, warc
+from termloom.session import materialise, new_table_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,9 +18,74 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# In production the key comes from a secret store.
+PSEUDONYM_KEY = b"termloom registered query"
+
+
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_table_path(spark, "archives")
+    warc.write(warc.pages_to_records(read(spark, sf_dir, "pages")), path)
+    whole = warc.payloads(warc.reassemble(warc.read(spark, path)))
+    return whole.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "segments", "problem")
+
+
+def op2_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch.edited_pairs(read(spark, sf_dir, "documents"))
+
+
+def op3_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert.documents(read(spark, sf_dir, "documents"))
+
+
+def op4_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.pseudonymise(read(spark, sf_dir, "documents"), PSEUDONYM_KEY)
+
+
+def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedupe(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op6_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load all documents, take out those labelled toxic, count languages other than English
+    anew by another vocabulary, and send every batch twice."""
+    one, two = tokens.DEFAULT_FILE, "byte_bpe_multi_50k.tiktoken"
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    toxic = labels.where("toxic = 1").select("doc_id").distinct().withColumn("out", F.lit(True))
+    counted = docs.join(toxic, "doc_id", "left").select(
+        "source", "lang", "out", rollup.token_count(F.col("text")).alias("first"),
+        F.when(F.col("out").isNull() & (F.col("lang") != "en"), rollup.token_count(F.col("text"), tokens.tokenizer_path(two))).alias("second"),
+    )
+    counted = materialise(counted, "counts")
+    gone, other = F.col("out").isNotNull(), F.col("out").isNull() & (F.col("lang") != "en")
+    ledger = rollup.Ledger(spark, new_table_path(spark, "ledger"))
+    for _ in range(2):
+        ledger.commit("load", rollup.inserts(counted, one, "first"))
+        ledger.commit("toxic", rollup.deletes(counted.where(gone), one, "first"))
+        ledger.commit("recount", rollup.revisions(counted.where(other), (one, "first"), (two, "second")))
+    return ledger.totals()
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    held = F.coalesce(language.held_out(F.col("doc_id")), F.lit(False))
+    learned = language.profiles(docs.where(~held))
+    found = language.predict(docs.select("doc_id", "text"), learned)
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
-REGISTRY: dict[str, Query] = {fn.__name__: fn for fn in (op9_packing,)}
+REGISTRY: dict[str, Query] = {
+    fn.__name__: fn
+    for fn in (
+        op1_warc, op2_sketch, op3_hilbert, op4_pseudonyms, op5_lines, op6_token_rollup, op7_language, op8_decontaminate,
+        op9_packing,
+    )
+}
 ORACLE_SQL: dict[str, str] = {}

@@ -27,7 +27,8 @@ def tokenizer_path(name: str = DEFAULT_FILE) -> str:
 class Encoder:
     """Equals ``Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids``.
 
-    Beside the JSON file at ``path`` lies the same vocabulary as ranks.
+    Beside a JSON file lies the same vocabulary as ranks. A path to ranks alone is a
+    vocabulary without special tokens.
     """
 
     def __init__(self, path: str) -> None:
@@ -36,17 +37,19 @@ class Encoder:
         import tiktoken
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        with open(os.path.splitext(path)[0] + RANKS_SUFFIX, "rb") as lines:
+        base, suffix = os.path.splitext(path)
+        with open(base + RANKS_SUFFIX, "rb") as lines:
             ranks = {base64.b64decode(t): int(i) for t, i in (line.split() for line in lines)}
         self.merges = tiktoken.Encoding(
             "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
-        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        special: list[str] = []
+        if suffix != RANKS_SUFFIX:
+            self.tokenizer = Tokenizer.from_file(path)
+            special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)")
-        #: string of each id, for rules on the text of a token
-        self.size = max(self.tokenizer.get_vocab().values()) + 1
-        self.strings = [b""] * self.size
+        #: bytes of each id, for rules on the text of a token; none for special tokens
+        self.strings = [b""] * (max(ranks.values()) + 1 + len(special))
         for token, i in ranks.items():
             self.strings[i] = token
 
