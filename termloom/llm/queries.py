@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from termloom.llm import decontaminate, hilbert, language, lines, packing, pseudonyms, rollup, sketch, tokens, warc
+from termloom.llm import decontaminate, hilbert, jaccard, language, lines, packing, pseudonyms, rollup, sketch, tokens, warc
 from termloom.session import materialise, new_table_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,11 +81,15 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
+def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.groups(read(spark, sf_dir, "documents"))
+
+
 REGISTRY: dict[str, Query] = {
     fn.__name__: fn
     for fn in (
         op1_warc, op2_sketch, op3_hilbert, op4_pseudonyms, op5_lines, op6_token_rollup, op7_language, op8_decontaminate,
-        op9_packing,
+        op9_packing, op10_jaccard,
     )
 }
 ORACLE_SQL: dict[str, str] = {}
