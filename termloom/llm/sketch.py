@@ -104,7 +104,8 @@ def edited_pairs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k:
     being the first.
 
     Returns doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
-    near_next. A null text is an empty one. A null id comes after all others. Rows that share
+    near_next. A null text is an empty one. A null id comes after all others (inside, the
+    lowest long stands for it). Rows that share
     an id have the same next document, and where the next id has several texts, the smallest
     wanted part and its sketch are taken. Only ids are put in global order; texts move once,
     to their place by id, and a third of them once more, to the document before.
@@ -112,7 +113,6 @@ def edited_pairs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k:
     lowest = F.lit(-(1 << 63))
     rows = docs.select(
         F.coalesce(F.col(doc_id).cast("bigint"), lowest).alias("key"),
-        F.col(doc_id).isNull().alias("nameless"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
     ids = rows.groupBy("key").agg(F.max(F.floor(F.length("text") / 3)).alias("wanted"))
@@ -121,7 +121,8 @@ def edited_pairs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k:
     # ascending, so a document's next one has the row before it, and row 0 the last row
     before = order.select(F.when(F.col("row") == n - 1, 0).otherwise(F.col("row") + 1).alias("row"), F.col("key").alias("next"))
     links = order.join(before, "row").select("key", "next", "wanted")
-    own = rows.select("key", "nameless", "text", sketch(F.col("text"), k, scale).alias("sketch"))
+    # read by both joins with the same columns, so that Spark shuffles it once
+    own = rows.select("key", "text", sketch(F.col("text"), k, scale).alias("sketch"))
     heads = (
         own.select(F.col("key").alias("next"), "text", "sketch")
         .join(links, "next")
@@ -132,11 +133,11 @@ def edited_pairs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k:
     size, third = F.length("text"), F.floor(F.length("text") / 3).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), size - third), F.substring("n.head", F.lit(1), third))
     both = own.join(heads, "key").select(
-        "key", "nameless", size.cast("bigint").alias("n_chars"), "sketch", "n.next_sketch", edited.alias("edited")
+        "key", size.cast("bigint").alias("n_chars"), "sketch", "n.next_sketch", edited.alias("edited")
     )
     sketched = both.withColumn("edited_sketch", sketch(F.col("edited"), k, scale))
     return sketched.select(
-        F.when(~F.col("nameless"), F.col("key")).alias("doc_id"),
+        F.nullif(F.col("key"), lowest).alias("doc_id"),
         "n_chars",
         F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
         printed(F.col("sketch")).alias("fingerprint"),
