@@ -6,74 +6,91 @@ with each profile by the out-of-place distance: the sum of the differences in ra
 n-gram that the profile lacks counts as ``profile_size``. The nearest profile wins.
 
 N-grams of one to three characters are taken within words (runs of letters, lower case, with
-a blank at both ends). Words are counted before they are cut into n-grams, so a frequent
-word is cut once per task in training and once per worker in prediction.
+a blank at both ends). An n-gram is one integer of three code points, which sorts as the
+string does, so a text is cut and counted by array operations.
 """
 
 from __future__ import annotations
 
-import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ORDERS = (1, 2, 3)
 PROFILE_SIZE = 400
 UNDETERMINED = "und"
-# Words whose counts a training task holds before it turns them into n-grams, n-grams it
-# holds before it passes them on, and words whose n-grams a worker keeps.
-HELD_WORDS, HELD_GRAMS, KEPT_WORDS = 200_000, 200_000, 60_000
+# Distinct n-grams of a language that a training task holds before it passes them on.
+HELD_GRAMS = 500_000
 # Labels are a closed set by nature; more than this many is taken for a wrong column.
 MAX_LANGUAGES = 10_000
 
-WORD = re.compile(r"[^\W\d_]+")
+BITS, BLANK = 21, 32
 
 
-def grams_of(word: str) -> list[str]:
-    padded = f" {word} "
-    found = [padded[i : i + n] for n in ORDERS for i in range(len(padded) - n + 1)]
-    return [g for g in found if g != " "]
+@cache
+def letters() -> np.ndarray:
+    """Code point to itself if it is a letter, else to the blank."""
+    points = np.arange(0x110000, dtype=np.int64)
+    return np.where([chr(c).isalpha() for c in range(0x110000)], points, BLANK)
+
+
+def gram_keys(text: str) -> np.ndarray:
+    """All n-grams of a text, as often as they occur; none without a letter. The first code
+    point stands in the highest bits, a missing one is 0."""
+    points = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    c = letters()[points]
+    c = c[np.concatenate(([True], (c[1:] != BLANK) | (c[:-1] != BLANK)))]  # one blank in a row
+    if len(c) < 3:
+        return np.empty(0, np.int64)
+    two = (c[:-1] << 2 * BITS) | (c[1:] << BITS)
+    three = two[:-1] | c[2:]
+    return np.concatenate((c[c != BLANK] << 2 * BITS, two, three[c[1:-1] != BLANK]))
+
+
+def gram(key: int) -> str:
+    return "".join(chr(p) for p in (key >> 2 * BITS, key >> BITS & 0x1FFFFF, key & 0x1FFFFF) if p)
+
+
+def key_of(gram: str) -> int:
+    a, b, c = (*map(ord, gram), 0, 0)[:3]
+    return a << 2 * BITS | b << BITS | c
 
 
 def gram_counts(texts: DataFrame, label: str, text: str) -> DataFrame:
     """(lang, gram, n): occurrences of each n-gram in all texts of a language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: dict[str, Counter] = defaultdict(Counter)
-        grams: dict[str, Counter] = defaultdict(Counter)
-
-        def cut() -> None:
-            for lang, counts in words.items():
-                into = grams[lang]
-                for word, n in counts.items():
-                    for g in grams_of(word):
-                        into[g] += n
-            words.clear()
-
-        def out() -> pa.RecordBatch:
-            rows = [(lang, g, n) for lang, counts in grams.items() for g, n in counts.items()]
-            grams.clear()
-            columns = list(zip(*rows, strict=True)) or [[], [], []]
-            types = (pa.string(), pa.string(), pa.int64())
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["lang", "gram", "n"]
-            )
+        held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = defaultdict(list)
+
+        def merged(lang: str) -> tuple[np.ndarray, np.ndarray]:
+            keys, counts = (np.concatenate(x) for x in zip(*held[lang], strict=True))
+            keys, where = np.unique(keys, return_inverse=True)
+            return keys, np.bincount(where, counts, len(keys)).astype(np.int64)
+
+        def out(lang: str) -> pa.RecordBatch:
+            keys, counts = merged(lang)
+            del held[lang]
+            columns = [pa.array([lang] * len(keys)), pa.array(list(map(gram, keys.tolist())), pa.string()), pa.array(counts)]
+            return pa.RecordBatch.from_arrays(columns, ["lang", "gram", "n"])
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 128):
+                part = batch.slice(at, 128)
+                together: dict[str, list[str]] = defaultdict(list)
                 for lang, value in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    words[lang].update(WORD.findall(value.lower()))
-                if sum(map(len, words.values())) > HELD_WORDS:
-                    cut()
-                    if sum(map(len, grams.values())) > HELD_GRAMS:
-                        yield out()
-        cut()
-        yield out()
+                    together[lang].append(value)
+                for lang, values in together.items():
+                    held[lang].append(np.unique(gram_keys("\n".join(values)), return_counts=True))
+                    if len(held[lang]) >= 16:
+                        held[lang] = [merged(lang)]
+                        if len(held[lang][0][0]) > HELD_GRAMS:
+                            yield out(lang)
+        for lang in list(held):
+            yield out(lang)
 
     known = texts.where(F.col(label).isNotNull() & F.col(text).isNotNull())
     counted = known.select(F.col(label).alias("lang"), F.col(text).alias("text"))
@@ -90,57 +107,31 @@ def profiles(texts: DataFrame, label: str = "lang", text: str = "text", size: in
 
 
 class Model:
-    """Ranks of all profiles, over the n-grams that occur in one."""
+    """Ranks of all profiles, over the n-grams that occur in one; the last column stands for
+    all other n-grams."""
 
     def __init__(self, rows: list[tuple[str, str, int]], size: int) -> None:
         self.size = size
         self.langs = sorted({lang for lang, _, _ in rows})
-        self.index: dict[str, int] = {}
-        for _, gram, _ in rows:
-            self.index.setdefault(gram, len(self.index))
-        self.ranks = np.full((len(self.langs), len(self.index) + 1), size, dtype=np.int64)
+        self.keys = np.unique(np.array([key_of(g) for _, g, _ in rows], dtype=np.int64))
+        self.ranks = np.full((len(self.langs), len(self.keys) + 1), -1, dtype=np.int64)
         place = {lang: i for i, lang in enumerate(self.langs)}
-        self.has = np.zeros_like(self.ranks, dtype=bool)
-        for lang, gram, rank in rows:
-            self.ranks[place[lang], self.index[gram]] = rank
-            self.has[place[lang], self.index[gram]] = True
-        self.words: dict[str, np.ndarray] = {}
-        self.known, self.strings = {}, []
-
-    def ids(self, word: str) -> np.ndarray:
-        """Worker-local numbers of a word's n-grams."""
-        found = self.words.get(word)
-        if found is None:
-            known = self.known
-            found = np.array([known.setdefault(g, len(known)) for g in grams_of(word)], dtype=np.int64)
-            if len(self.words) < KEPT_WORDS:
-                self.words[word] = found
-        return found
+        for lang, g, rank in rows:
+            self.ranks[place[lang], np.searchsorted(self.keys, key_of(g))] = rank
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        words = WORD.findall(text.lower()) if text else []
-        if not words or not self.langs:
+        grams = gram_keys(text) if text and self.langs else np.empty(0, np.int64)
+        if not len(grams):
             return UNDETERMINED, 0.0
-        if len(self.known) > 4 * HELD_GRAMS:
-            self.known.clear()
-            self.words.clear()
-        counts = np.bincount(np.concatenate(list(map(self.ids, words))))
-        seen = np.flatnonzero(counts)
-        if len(seen) > self.size:  # everything that ties with the last rank stays for now
-            least = np.partition(counts[seen], len(seen) - self.size)[len(seen) - self.size]
-            seen = seen[counts[seen] >= least]
-        names = self.names()
-        top = sorted(((-n, names[g]) for g, n in zip(seen.tolist(), counts[seen].tolist(), strict=True)))[: self.size]
-        at = np.array([self.index.get(g, -1) for _, g in top])
-        own = np.arange(len(top))
-        away = np.where(self.has[:, at], np.abs(self.ranks[:, at] - own), self.size).sum(axis=1)
+        keys, counts = np.unique(grams, return_counts=True)
+        # by falling count, then in the order of the n-gram, in which the keys are
+        keys = keys[np.argsort(-counts, kind="stable")[: self.size]]
+        at = np.searchsorted(self.keys, keys)
+        at[self.keys[np.minimum(at, len(self.keys) - 1)] != keys] = len(self.keys)
+        ranks = self.ranks[:, at]
+        away = np.where(ranks < 0, self.size, np.abs(ranks - np.arange(len(keys)))).sum(axis=1)
         best = int(np.argmin(away))
-        return self.langs[best], 1.0 - float(away[best]) / (self.size * len(top))
-
-    def names(self) -> list[str]:
-        if len(self.strings) != len(self.known):
-            self.strings = list(self.known)
-        return self.strings
+        return self.langs[best], 1.0 - float(away[best]) / (self.size * len(keys))
 
 
 def predict(
