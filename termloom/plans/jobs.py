@@ -17,20 +17,30 @@ from termloom.session import materialise, narrow
 from termloom.sources import corpus, sinks
 
 
+def latest(docs: DataFrame) -> DataFrame:
+    """The last record of each id where records carry their order (``seq``), as those read
+    from tagged files do; other corpora are taken as they are."""
+    if "seq" not in docs.columns:
+        return docs
+    return materialise(corpus.dedupe_by_id(docs, "doc_id", "seq").drop("seq"), "latest")
+
+
 def word_count_vectors(docs: DataFrame) -> DataFrame:
     """(doc_id, line) of every article, with or without label and body."""
+    docs = latest(docs)
     return sinks.wordcount_lines(docs, terms.term_bags(docs))
 
 
 def tfidf_vectors(docs: DataFrame, digits: int = 9) -> DataFrame:
     """(doc_id, line) with TF-IDF values; articles without body count in N."""
+    docs = latest(docs)
     return sinks.tfidf_lines(docs, terms.tfidf(terms.stored_bags(docs)), digits)
 
 
 def scaled_features(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Column-normalised features of the articles that have a label and a body:
     sparse rows (id, idx, val, label) and the long form (doc_id, feature, value)."""
-    kept = corpus.labelled(docs)
+    kept = corpus.labelled(latest(docs))
     matrix = materialise(features.feature_matrix(terms.stored_bags(kept)), "matrix")
     scaled = materialise(features.l2_normalize_columns(matrix), "scaled")
     rows = features.sparse_rows(scaled).join(kept.select("doc_id", "label"), "doc_id")
@@ -103,4 +113,4 @@ def dtree_accuracy(docs: DataFrame, drop_last: bool = False) -> DataFrame:
 
 def similarity_study(docs: DataFrame, ks: Sequence[int] = similarity.STUDY_SLOTS) -> DataFrame:
     """(k, n_pairs, mse) of sketch estimates over all pairs of labelled articles."""
-    return similarity.error_study(terms.stored_bags(corpus.labelled(docs)), tuple(ks))
+    return similarity.error_study(terms.stored_bags(corpus.labelled(latest(docs))), tuple(ks))

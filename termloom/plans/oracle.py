@@ -417,4 +417,6 @@ FROM documents"""
     sql["knn_accuracy"] = _accuracy(_knn("euclidean", 25))
     sql["knn_accuracy_cosine"] = _accuracy(_knn("cosine", 25))
     sql["knn_documents"] = _accuracy(DOCSPLIT)
+    sql["tagged_knn"] = sql["knn_documents"]
+    sql["tagged_similarity_study"] = sql["minhash_mse"]
     return sql

@@ -88,6 +88,25 @@ def tagged_record_scan(spark, d):
     )
 
 
+def retold(spark, d):
+    """The documents as tagged files, read back; a tenth of the ids has an older record."""
+    path = new_table_path(spark, "tagged")
+    docs = docs_of(spark, d)
+    corpus.write_tagged_records(docs.where("doc_id % 10 = 0").withColumn("text", F.lit("an older record")), f"{path}/1")
+    corpus.write_tagged_records(docs, f"{path}/2")
+    return corpus.tagged_records(spark, f"{path}/1", f"{path}/2")
+
+
+@query
+def tagged_similarity_study(spark, d):
+    return jobs.similarity_study(retold(spark, d)).select("k", "n_pairs", r("mse", 9).alias("mse"))
+
+
+@query
+def tagged_knn(spark, d):
+    return jobs.knn_accuracy(retold(spark, d)).select("k", "n_test", r("accuracy").alias("accuracy"))
+
+
 @query
 def wordcount_vector_lines(spark, d):
     return jobs.word_count_vectors(docs_of(spark, d))

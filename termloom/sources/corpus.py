@@ -28,22 +28,30 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def tagged_records(spark: SparkSession, *paths: str, tag: str = RECORD_TAG) -> DataFrame:
+def tagged_records(spark: SparkSession, *paths: str, tag: str = RECORD_TAG, separator: str | None = None) -> DataFrame:
     """Split tagged text files into records and extract their fields.
 
-    The closing tag is the line separator of the text source, so Spark splits
-    large files over tasks and no record is assembled in Python.
+    The closing tag is the line separator of the text source, so Spark splits large files
+    over tasks and no record is assembled in Python. It is written as ``separator``; closing
+    tags in another case are split inside the row, so name it for a lower-case corpus.
+    ``doc_id`` is a number: the id itself, or a hash of an id that is none. ``seq`` orders
+    records by file and place, for ``dedupe_by_id``.
     """
-    raw = spark.read.option("lineSep", f"</{tag}>").text(list(paths))
+    raw = spark.read.option("lineSep", separator or f"</{tag}>").text(list(paths))
     record = F.col("value")
-    # \u0000 .. \u001f from numeric references are dropped by decode_entities
-    one = raw.where(record.rlike(rf"(?i)<{tag}[ >]")).select(
-        html.attribute(record, tag, "newid").alias("id"),
+    split = raw.select(
+        F.explode(F.split(record, rf"(?i)</{tag}>")).alias("value"), F.input_file_name().alias("source"),
+        F.monotonically_increasing_id().alias("row"),
+    ).select("value", "source", F.struct("source", "row", F.monotonically_increasing_id().alias("part")).alias("seq"))
+    name = html.attribute(record, tag, "newid")
+    one = split.where(record.rlike(rf"(?i)<{tag}[ >]")).select(
+        F.coalesce(name.try_cast("bigint"), F.when(name.isNotNull(), F.xxhash64(name))).alias("id"),
         F.coalesce(html.element(record, "topics"), F.lit("")).alias("t"),
         F.coalesce(html.element(record, "places"), F.lit("")).alias("p"),
         html.element(record, "title").alias("title"),
         html.element(record, "body").alias("body"),
-        F.input_file_name().alias("source"),
+        "source",
+        "seq",
     )
     decoded = lambda c: F.transform(html.elements(F.col(c), "d"), html.decode_entities)
     return one.select(
@@ -53,6 +61,7 @@ def tagged_records(spark: SparkSession, *paths: str, tag: str = RECORD_TAG) -> D
         F.coalesce(html.decode_entities(F.col("title")), F.lit("")).alias("title"),
         html.decode_entities(F.col("body")).alias("text"),
         "source",
+        "seq",
     )
 
 

@@ -1,5 +1,7 @@
+import pytest
 from pyspark.sql import functions as F
 
+from termloom.plans import jobs
 from termloom.session import hot_split_join, shared_dir, with_row_index
 from termloom.sources import corpus, html
 
@@ -17,18 +19,18 @@ def test_tagged_records(spark, tmp_path):
     path = tmp_path / "a.sgm"
     path.write_text(RECORDS)
     got = {r.doc_id: r for r in corpus.tagged_records(spark, str(path)).collect()}
-    assert set(got) == {"1", "2"}
-    assert got["1"].topics == ["cocoa", "tea"] and got["1"].places == ["usa"]
-    assert got["1"].title == "BAHIA <X>" and got["1"].text == "Showers continued\nin the week. "
-    assert got["2"].topics == [] and got["2"].title == "t" and got["2"].text is None
+    assert set(got) == {1, 2}
+    assert got[1].topics == ["cocoa", "tea"] and got[1].places == ["usa"]
+    assert got[1].title == "BAHIA <X>" and got[1].text == "Showers continued\nin the week. "
+    assert got[2].topics == [] and got[2].title == "t" and got[2].text is None
     kept = corpus.labelled(corpus.tagged_records(spark, str(path)))
-    assert [(r.doc_id, r.label) for r in kept.collect()] == [("1", "cocoa")]
+    assert [(r.doc_id, r.label) for r in kept.collect()] == [(1, "cocoa")]
 
 
 def test_entities(spark):
     cases = {
         "a &amp;lt; b": "a &lt; b", "&#65;&#233;&#8364;": "Aé€", "&#2;x&#31;": "x", "&#xx; &#12": "&#xx; &#12",
-        "R&D &gt; &quot;q&quot;": 'R&D > "q"', "plain": "plain",
+        "R&D &gt; &quot;q&quot;": 'R&D > "q"', "plain": "plain", "&#38;lt;": "&lt;", "a&#10;b&#9;c": "a\nb\tc", "&#x41;&#XE9;": "Aé", "&#1048576;": "\U00100000", "&#9999999;": "&#9999999;",
     }
     rows = spark.createDataFrame([(k,) for k in cases], "t string")
     got = {r.t: r.d for r in rows.select("t", html.decode_entities(F.col("t")).alias("d")).collect()}
@@ -38,10 +40,10 @@ def test_entities(spark):
 
 
 def test_record_roundtrip(spark, tmp_path):
-    rows = [("7", ["a&b"], ["p", "q"], "t <1>", "x &lt; y <b>\nz"), ("8", [], [], "", None)]
-    docs = spark.createDataFrame(rows, "doc_id string, topics array<string>, places array<string>, title string, text string")
+    rows = [(7, ["a&b"], ["p", "q"], "t <1>", "x &lt; y <b>\nz"), (8, [], [], "", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, topics array<string>, places array<string>, title string, text string")
     corpus.write_tagged_records(docs, str(tmp_path / "out"))
-    got = corpus.tagged_records(spark, str(tmp_path / "out")).drop("source")
+    got = corpus.tagged_records(spark, str(tmp_path / "out")).drop("source", "seq")
     assert sorted(map(tuple, got.collect())) == rows
 
 
@@ -75,3 +77,28 @@ def test_row_index(spark):
 def test_shared_dir_follows_session(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert shared_dir(spark) == named if named else shared_dir(spark)
+
+
+@pytest.mark.parametrize("change", [str, str.lower, str.title])
+def test_records_in_any_case(spark, tmp_path, change):
+    text = "".join(f'<REUTERS NEWID="{i}"><TOPICS><D>t</D></TOPICS><TEXT><BODY>b {i}</BODY></TEXT></REUTERS>\n' for i in (1, 2, 3, 2))
+    (tmp_path / "a.sgm").write_text(change(text))
+    docs = corpus.tagged_records(spark, str(tmp_path))
+    assert sorted(r.doc_id for r in docs.collect()) == [1, 2, 2, 3]
+    assert sorted(r.doc_id for r in jobs.latest(docs).collect()) == [1, 2, 3]
+    assert jobs.word_count_vectors(docs).count() == 3
+
+
+def test_jobs_on_tagged_files(spark, tmp_path):
+    words = ["alpha", "beta", "gamma", "delta"]
+    body = lambda i: " ".join([words[i % 4]] * 3 + [words[(i + 1) % 4]] * (2 + i % 3))
+    one = lambda i, b: f'<reuters newid="{i}"><topics><d>t{i % 2}</d></topics><text><title>x</title><body>{b}</body></text></reuters>'
+    (tmp_path / "a.sgm").write_text("".join(one(i, "old text old text") for i in range(6)))
+    (tmp_path / "b.sgm").write_text("".join(one(i, body(i)) for i in range(24)))
+    docs = corpus.tagged_records(spark, str(tmp_path), separator="</reuters>")
+    assert jobs.tfidf_vectors(docs).count() == 24
+    assert jobs.similarity_study(docs, [16]).first().n_pairs == 24 * 23 // 2
+    assert jobs.knn_accuracy(docs, [1]).first().n_test == 10
+    assert sum(r.n for r in jobs.dbscan_report(docs, [0.3], [2]).collect()) == 24
+    assert sum(r.n for r in jobs.kmeans_report(docs, [3]).collect()) == 24
+    assert jobs.dtree_accuracy(docs).count() == 1
