@@ -120,13 +120,12 @@ def edited_pairs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k:
     order = materialise(numbered, "order")
     # ascending, so a document's next one has the row before it, and row 0 the last row
     before = order.select(F.when(F.col("row") == n - 1, 0).otherwise(F.col("row") + 1).alias("row"), F.col("key").alias("next"))
-    links = order.join(before, "row").select("key", "next", "wanted")
-    # read by both joins with the same columns, so that Spark shuffles it once
+    links = order.join(before, "row").select(F.col("key").alias("previous"), "next", "wanted")
+    # read by both joins under the same names, so that Spark sees one shuffle
     own = rows.select("key", "text", sketch(F.col("text"), k, scale).alias("sketch"))
     heads = (
-        own.select(F.col("key").alias("next"), "text", "sketch")
-        .join(links, "next")
-        .select("key", F.expr("substring(text, 1, cast(wanted as int))").alias("head"), F.col("sketch").alias("next_sketch"))
+        own.join(links, F.col("key") == F.col("next"))
+        .select(F.col("previous").alias("key"), F.expr("substring(text, 1, cast(wanted as int))").alias("head"), F.col("sketch").alias("next_sketch"))
         .groupBy("key")
         .agg(F.min(F.struct("head", "next_sketch")).alias("n"))
     )
