@@ -63,8 +63,11 @@ def prefix_length(n: int, percent: int) -> int:
 
 
 def counted_share(percent: int) -> int:
-    """Hashes below this bound are counted: twice the share of tokens that a prefix has."""
-    return min((1 << 63) - 1, int((1 << 64) * min(0.49, 2 * (100 - percent) / 100)))
+    """Hashes below this bound are counted. The share has to be over that of a prefix; the more
+    it is over, the more of the frequent tokens a prefix can avoid, and the more is shuffled:
+    twice the prefix up to a quarter of all tokens, and never less than 1.25 times."""
+    prefix = (100 - percent) / 100
+    return int((1 << 64) * min(0.49, max(1.25 * prefix, min(2 * prefix, 0.25))))
 
 
 SETS = "doc_id bigint, class bigint, n int, prefix int, counted int, tokens array<bigint>"
