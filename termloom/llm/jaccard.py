@@ -130,11 +130,15 @@ class Group:
         self.n = np.array(list(map(len, sets)))
         self.at = np.concatenate(([0], np.cumsum(self.n)))
         _, tokens, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-        self.tokens = tokens  # numbered by hash, each set in rising order
+        # numbered by hash, each set in rising order; a block pair has far fewer than 2**31 tokens
+        self.tokens = tokens.astype(np.int32)
+        del tokens
         self.size = len(counts)
-        rare = np.empty(self.size, np.int64)
-        rare[np.lexsort((np.arange(self.size), counts))] = np.arange(self.size)
-        self.indexes = [self._index(order) for order in (rare, np.arange(self.size), -np.arange(self.size))]
+        up = np.arange(self.size, dtype=np.int32)
+        rare = np.empty(self.size, np.int32)
+        rare[np.lexsort((up, counts))] = up
+        del counts
+        self.indexes = [self._index(order) for order in (rare, up, -up)]
 
     def _index(self, order: np.ndarray):
         """Prefix tokens of every set under an order, and the sets of every prefix token."""
@@ -143,9 +147,10 @@ class Group:
             own = self.tokens[self.at[i] : self.at[i + 1]]
             k = prefix_length(len(own), self.percent)
             prefixes.append(own[np.argpartition(order[own], k - 1)[:k]] if k < len(own) else own)
-        flat, owner = np.concatenate(prefixes), np.repeat(np.arange(len(prefixes)), list(map(len, prefixes)))
-        by = np.argsort(flat, kind="stable")
-        return prefixes, owner[by], np.searchsorted(flat[by], np.arange(self.size + 1))
+        flat = np.concatenate(prefixes)
+        owner = np.repeat(np.arange(len(prefixes), dtype=np.int32), list(map(len, prefixes)))
+        starts = np.concatenate(([0], np.cumsum(np.bincount(flat, minlength=self.size)))).astype(np.int32)
+        return prefixes, owner[np.argsort(flat, kind="stable")], starts
 
     def similar(self, u: int, open_: np.ndarray) -> np.ndarray:
         """Sets among the open ones that are similar to set u."""

@@ -14,7 +14,18 @@ from termloom.session import materialise, new_table_path
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# What one batch may bring to Python: rows hold whole texts, and a task has a batch in the
+# JVM's and one in Python's memory.
+BATCH_BYTES, BATCH_ROWS = 4 << 20, 1_000
+
+
+def bound_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
