@@ -62,10 +62,12 @@ def op6_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     one, two = tokens.DEFAULT_FILE, "byte_bpe_multi_50k.tiktoken"
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
     toxic = labels.where("toxic = 1").select("doc_id").distinct().withColumn("out", F.lit(True))
-    counted = docs.join(toxic, "doc_id", "left").select(
-        "source", "lang", "out", rollup.token_count(F.col("text")).alias("first"),
-        F.when(F.col("out").isNull() & (F.col("lang") != "en"), rollup.token_count(F.col("text"), tokens.tokenizer_path(two))).alias("second"),
-    )
+    # Texts are counted where they are read; only counts go through the join. The second
+    # vocabulary gets the texts it is for, as a condition around a Python function spares none.
+    counted = docs.select(
+        "doc_id", "source", "lang", rollup.token_count(F.col("text")).alias("first"),
+        rollup.token_count(F.when(F.col("lang") != "en", F.col("text")), tokens.tokenizer_path(two)).alias("second"),
+    ).join(toxic, "doc_id", "left")
     counted = materialise(counted, "counts")
     gone, other = F.col("out").isNotNull(), F.col("out").isNull() & (F.col("lang") != "en")
     ledger = rollup.Ledger(spark, new_table_path(spark, "ledger"))
