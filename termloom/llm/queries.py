@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from termloom.llm import decontaminate, hilbert, jaccard, language, lines, packing, pseudonyms, rollup, sketch, tokens, warc
+from termloom.llm import decontaminate, hilbert, jaccard, language, lines, merkle, oracle, packing, pseudonyms, rollup, simplex, sketch, subword, tokens, warc
 from termloom.session import materialise, new_table_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,8 +25,17 @@ def bound_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
+def own_session(spark: SparkSession) -> SparkSession:
+    """A session with the caller's settings of its own, so that the caller's stay as they are."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    bound_batches(own)
+    return own
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -98,11 +108,27 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.groups(read(spark, sf_dir, "documents"))
 
 
+def op11_simplex(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simplex.clusters(read(spark, sf_dir, "embeddings")).drop("compared")
+
+
+def op12_subword(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subword.documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.documents(read(spark, sf_dir, "documents"))
+
+
+def isolated(query: Query) -> Query:
+    return wraps(query)(lambda spark, sf_dir: query(own_session(spark), sf_dir))
+
+
 REGISTRY: dict[str, Query] = {
-    fn.__name__: fn
+    fn.__name__: isolated(fn)
     for fn in (
         op1_warc, op2_sketch, op3_hilbert, op4_pseudonyms, op5_lines, op6_token_rollup, op7_language, op8_decontaminate,
-        op9_packing, op10_jaccard,
+        op9_packing, op10_jaccard, op11_simplex, op12_subword, op13_merkle,
     )
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = oracle.all_sql()
