@@ -9,6 +9,12 @@ slots have to be consistent: one value of the item stands for one value in the d
 the other way round. So the same question with other numbers is caught, and two texts that
 merely share a frame with unrelated values are not.
 
+A window without a plain word says nothing as a template, as all lists of numbers have the
+same: it stands for its literal words. Diagonals are opened only by windows that occur once in
+their item, or, in an item without such windows, by the first occurrence of each where a run
+begins in the document; windows that repeat only add to diagonals that are open. So repeats
+on both sides are never paired with each other.
+
 The windows of the benchmark are held by the tasks as a sorted array of hashes, in blocks of
 at most ``BLOCK_WINDOWS``; a larger benchmark takes one pass over the documents per block.
 Only windows that hit leave a task, and the join is on these.
@@ -58,6 +64,7 @@ def _hash(token: str) -> int:
 
 PLACE = {k: np.uint64(_hash(f"\x00{k}")) for k in ("number", "name", "unit", "measure")}
 BASE = 0x9E3779B97F4A7C15
+LITERAL = np.uint64(0xA5A5A5A55A5A5A5B)
 
 
 def _word(word: str) -> tuple[int, int]:
@@ -82,10 +89,15 @@ class Canonical:
 
     def tokens(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Token hashes, and which tokens are slots."""
+        return self.template(words)[:2]
+
+    def template(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Token hashes, which tokens are slots, and the hashes of the words as they stand."""
         if not words:
-            return np.empty(0, np.uint64), np.empty(0, bool)
+            return np.empty(0, np.uint64), np.empty(0, bool), np.empty(0, np.uint64)
         hashes, flags = zip(*map(self.word, words), strict=True)
         tokens, flags = np.array(hashes, dtype=np.uint64), np.array(flags, dtype=np.int8)
+        literal = tokens.copy()
         kind = flags & 3
         starts = np.concatenate(([True], (flags[:-1] & STOP) > 0))
         follows_number = np.concatenate(([False], kind[:-1] == NUM))
@@ -94,7 +106,27 @@ class Canonical:
         name = ((flags & CAPITAL) > 0) & ~starts & ~number & ~measure & ~unit
         for where, place in ((number, "number"), (measure, "measure"), (unit, "unit"), (name, "name")):
             tokens[where] = PLACE[place]
-        return tokens, number | measure | unit | name
+        return tokens, number | measure | unit | name, literal
+
+
+def template_hashes(tokens: np.ndarray, slots: np.ndarray, literal: np.ndarray, width: int) -> np.ndarray:
+    """Hash of each run of ``width`` template tokens; a run of slots only is hashed as it stands."""
+    hashes = window_hashes(tokens, width)
+    if slots.any() and len(hashes):
+        upto = np.concatenate(([0], np.cumsum(slots)))
+        bare = np.flatnonzero(upto[width:] - upto[:-width] == width)
+        if len(bare):
+            hashes[bare] = window_hashes(literal, width)[bare] ^ LITERAL
+    return hashes
+
+
+def run_starts(hashes: np.ndarray, places: np.ndarray, width: int) -> np.ndarray:
+    """Whether the same window does not begin within the ``width`` words before."""
+    order = np.lexsort((places, hashes))
+    again = (hashes[order][1:] == hashes[order][:-1]) & (np.diff(places[order]) <= width)
+    out = np.ones(len(places), bool)
+    out[order[1:][again]] = False
+    return out
 
 
 def window_hashes(tokens: np.ndarray, width: int) -> np.ndarray:
@@ -112,13 +144,13 @@ def window_hashes(tokens: np.ndarray, width: int) -> np.ndarray:
         return out + np.uint64(width)
 
 
-HITS = "id bigint, position int, hash bigint, width int, n_tokens int, slots array<string>"
+HITS = "id bigint, position int, hash bigint, width int, n_tokens int, opens boolean, slots array<string>"
 _FIELDS = [("id", pa.int64()), ("position", pa.int32()), ("hash", pa.int64()), ("width", pa.int32()),
-           ("n_tokens", pa.int32()), ("slots", pa.list_(pa.string()))]
+           ("n_tokens", pa.int32()), ("opens", pa.bool_()), ("slots", pa.list_(pa.string()))]
 
 
 def _windows(texts: DataFrame, width: int, hits_of=None) -> DataFrame:
-    """Template windows of (id, text) rows. ``hits_of``: broadcast (widths, sorted hashes) to
+    """Template windows of (id, text) rows; ``opens`` where a run of equal windows begins. ``hits_of``: broadcast (widths, sorted hashes) to
     keep only windows among them; without, the windows of a benchmark item, or the item as
     one window where it is shorter."""
 
@@ -134,17 +166,18 @@ def _windows(texts: DataFrame, width: int, hits_of=None) -> DataFrame:
                 rows: list[tuple] = []
                 for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                     words = text.split() if text else []
-                    tokens, slots = canonical.tokens(words)
+                    tokens, slots, literal = canonical.template(words)
                     for w in widths if hits_of is not None else ([min(width, len(tokens))] if words else []):
-                        hashes = window_hashes(tokens, w)
+                        hashes = template_hashes(tokens, slots, literal, w)
                         places = np.arange(len(hashes))
                         if hits_of is not None:
                             places = places[table[(hashes >> np.uint64(48)).astype(np.int64)]]
                             at_most = np.minimum(np.searchsorted(known, hashes[places]), len(known) - 1)
                             places = places[known[at_most] == hashes[places]]
-                        for p in places.tolist():
+                        opens = run_starts(hashes[places], places, w)
+                        for p, o in zip(places.tolist(), opens.tolist(), strict=True):
                             inside = [words[i].strip(PUNCTUATION).lower() if slots[i] else None for i in range(p, p + w)]
-                            rows.append((key, p, int(hashes[p].astype(np.int64)), w, len(tokens), inside))
+                            rows.append((key, p, int(hashes[p].astype(np.int64)), w, len(tokens), o, inside))
                 if rows:
                     columns = zip(zip(*rows, strict=True), _FIELDS, strict=True)
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in columns], [n for n, _ in _FIELDS])
@@ -185,12 +218,29 @@ def leaks(
         hits = found if hits is None else hits.unionByName(found)
     if hits is None:
         hits = spark.createDataFrame([], HITS)
-    item = grams.select("hash", "width", F.col("id").alias("item_id"), F.col("position").alias("at"),
-                        F.col("n_tokens").alias("item_tokens"), F.col("slots").alias("item_slots"))
-    both = hits.withColumnRenamed("id", "doc_id").join(item, ["hash", "width"]).select(
+    hits = materialise(hits.withColumnRenamed("id", "doc_id"), "hits")
+    times = grams.groupBy("id", "hash", "width").agg(F.count("*").alias("times"), F.min("position").alias("first_at"))
+    some = times.groupBy("id").agg((F.min("times") == 1).alias("has_single"))
+    # 1: opens wherever it is; 2: where a run begins; 0: adds to open diagonals only
+    role = F.when(F.col("times") == 1, 1).when(~F.col("has_single") & (F.col("position") == F.col("first_at")), 2).otherwise(0)
+    item = grams.join(times, ["id", "hash", "width"]).join(some, "id").select(
+        "hash", "width", F.col("id").alias("item_id"), F.col("position").alias("at"), role.alias("role"),
+        F.col("n_tokens").alias("item_tokens"), F.col("slots").alias("item_slots"),
+    )
+    item = materialise(item, "items")
+    columns = (
         "doc_id", "item_id", (F.col("position") - F.col("at")).alias("position"), "at", "width", "item_tokens",
         F.transform("slots", lambda new, i: F.struct((F.col("at") + i).alias("place"), F.get("item_slots", i).alias("old"), new.alias("new"))).alias("pairs"),
     )
+    seeds = hits.join(item.where("role > 0"), ["hash", "width"])
+    both = seeds.where("role = 1 or opens").select(*columns)
+    rest = item.where("role < 1")
+    if not rest.isEmpty():
+        both = materialise(both, "seeds")
+        open_ = both.select("doc_id", "item_id", F.col("position").alias("shift")).distinct()
+        wanted = open_.join(rest, "item_id").withColumn("position", F.col("shift") + F.col("at"))
+        more = hits.drop("opens", "n_tokens").join(wanted, ["doc_id", "position", "hash", "width"])
+        both = both.unionByName(more.select(*columns))
     merged = both.groupBy("doc_id", "item_id", "position").agg(
         F.first("item_tokens").alias("n_tokens"),
         F.array_distinct(F.flatten(F.collect_set(F.sequence("at", F.col("at") + F.col("width") - 1)))).alias("places"),
@@ -210,8 +260,14 @@ def leaks(
     )
 
 
-def clean(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
-    """``docs`` without the documents that hold an item. The list of leaks is stored first,
-    so Spark sees its size when it chooses the join."""
-    found = materialise(leaks(docs, items, doc_id, **options).select(F.col("doc_id").alias("_leak")).distinct(), "leaks")
-    return docs.join(found, F.col(doc_id) == F.col("_leak"), "left_anti")
+def clean(docs: DataFrame, items: DataFrame, text: str = "text", **options) -> DataFrame:
+    """``docs`` without the rows whose text holds an item.
+
+    Each row is judged by its own text, named by a hash of it: rows that share an id are
+    judged apart, rows without an id too, and repeated rows go or stay together. Extra columns
+    pass. The list of leaks is stored first, so Spark sees its size when it chooses the join."""
+    named = docs.select(F.xxhash64(text).alias("doc_id"), F.col(text).alias("text"))
+    found = materialise(leaks(named, items.withColumnRenamed(text, "text"), **options).select("doc_id").distinct(), "leaks")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    left = whole.withColumn("doc_id", F.xxhash64(F.col("row").getField(text))).join(found, "doc_id", "left_anti")
+    return left.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

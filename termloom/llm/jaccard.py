@@ -70,27 +70,27 @@ def counted_share(percent: int) -> int:
     return int((1 << 64) * min(0.49, max(1.25 * prefix, min(2 * prefix, 0.25))))
 
 
-SETS = "doc_id bigint, class bigint, n int, prefix int, counted int, tokens array<bigint>"
+SETS = "doc_id bigint, text_key bigint, class bigint, n int, prefix int, counted int, tokens array<bigint>"
 
 
 def _sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """Per document its class, set size, prefix length and the tokens that can be in its first
     prefix: all counted ones, or as many by hash as the prefix has."""
     bound = np.uint64(counted_share(percent))
-    fields = [("doc_id", pa.int64()), ("class", pa.int64()), ("n", pa.int32()), ("prefix", pa.int32()), ("counted", pa.int32()), ("tokens", pa.list_(pa.int64()))]
+    fields = [("doc_id", pa.int64()), ("text_key", pa.int64()), ("class", pa.int64()), ("n", pa.int32()), ("prefix", pa.int32()), ("counted", pa.int32()), ("tokens", pa.list_(pa.int64()))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part, rows = batch.slice(at, 256), []
-                for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                for key, text_key, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
                     tokens = shingles(text, words)
                     n = len(tokens)
                     if not n or key is None:
-                        rows.append((key, None, n, 0, 0, None))
+                        rows.append((key, text_key, None, n, 0, 0, None))
                         continue
                     counted, prefix = int(np.searchsorted(tokens, bound)), prefix_length(n, percent)
-                    rows.append((key, class_of(tokens), n, prefix, counted, tokens[: max(counted, prefix)].view(np.int64)))
+                    rows.append((key, text_key, class_of(tokens), n, prefix, counted, tokens[: max(counted, prefix)].view(np.int64)))
                 columns = zip(zip(*rows, strict=True), fields, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in columns], [name for name, _ in fields])
 
@@ -245,6 +245,21 @@ def _links(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> Dat
     return dealt.groupBy("share", "i", "j").applyInArrow(verify, "u bigint, v bigint")
 
 
+def _components(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Rows of (doc_id, text) as (doc_id, text_key, class, n), and per class its component."""
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+    sets = materialise(_sets(rows, words, percent), "sets")
+    first = sets.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"))
+    first = materialise(first, "classes")
+    units = connected_components(_ties(sets, percent), LOCAL_EDGES)
+    candidates = first.join(units.select(F.col("node").alias("class"), F.col("root").alias("unit")), "class")
+    linked = connected_components(_links(docs, candidates, words, percent), LOCAL_EDGES)
+    placed = first.join(linked.withColumnRenamed("node", "class"), "class", "left").select(
+        "class", "doc_id", F.coalesce("root", "class").alias("root")
+    )
+    return sets, materialise(placed, "placed")
+
+
 def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row: set size, and the smallest id that
     links reach. Sets link when their intersection is at least ``percent`` of their union.
@@ -254,16 +269,7 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: i
     component of its own text. Other columns are not read. Empty tables give no rows.
     """
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    sets = materialise(_sets(rows, words, percent), "sets")
-    first = sets.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"))
-    first = materialise(first, "classes")
-    units = connected_components(_ties(sets, percent), LOCAL_EDGES)
-    candidates = first.join(units.select(F.col("node").alias("class"), F.col("root").alias("unit")), "class")
-    linked = connected_components(_links(rows, candidates, words, percent), LOCAL_EDGES)
-    placed = first.join(linked.withColumnRenamed("node", "class"), "class", "left").select(
-        "class", "doc_id", F.coalesce("root", "class").alias("root")
-    )
-    placed = materialise(placed, "placed")
+    sets, placed = _components(rows, words, percent)
     lowest = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = placed.join(lowest, "root").select("class", "component_id")
     return sets.join(named, "class", "left").select(
@@ -272,8 +278,25 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: i
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document, that of the smallest id, of each group of near duplicates.
-    The list of the others is stored first, so Spark sees its size when it chooses the join."""
-    found = groups(docs, doc_id, text, words, percent)
-    others = materialise(found.where("doc_id != component_id").select(F.col("doc_id").alias("_other")).distinct(), "others")
-    return docs.join(others, F.col(doc_id) == F.col("_other"), "left_anti")
+    """``docs`` with one row of each group of near duplicates: that of the smallest id, of
+    several rows with this id the one of the smallest hash of its text, of equal ones one.
+
+    A row is named by its id and text, so rows that share an id are judged each by its own
+    text. Rows without an id or without words stay, also repeated ones. Extra columns pass. The
+    list of rows to leave out is stored first, so Spark sees its size when it chooses the join."""
+    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    sets, placed = _components(rows, words, percent)
+    named = sets.join(placed.select("class", "root"), "class").groupBy("root", "doc_id", "text_key").agg(F.count("*").alias("copies"))
+    named = materialise(named, "named")
+    stays = named.groupBy("root").agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
+    judged = named.join(stays, "root").select("doc_id", "text_key", "copies", (F.struct("doc_id", "text_key") == F.col("first")).alias("stays"))
+    judged = materialise(judged.where(~F.col("stays") | (F.col("copies") > 1)), "judged")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    whole = whole.select("row", F.col("row").getField(doc_id).cast("bigint").alias("doc_id"), F.xxhash64(F.col("row").getField(text)).alias("text_key"))
+    same = ["doc_id", "text_key"]
+    kept = whole.join(judged.select(*same), same, "left_anti")
+    repeated = judged.where("stays").select(*same)
+    if not repeated.isEmpty():
+        once = whole.join(repeated, same, "left_semi").groupBy(*same).agg(F.first("row").alias("row"))
+        kept = kept.unionByName(once)
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -17,6 +17,23 @@ def _crc32(digits: str) -> str:
     return f"xor(list_reduce({codes}, lambda r, b: {step}, CAST(4294967295 AS BIGINT)), 4294967295)"
 
 
+def warc(min_revisit: int = 1000, chunk: int = 8192, segment: int = 1024) -> str:
+    """Lengths, digests and revisits are those of the payloads; the number of segments follows
+    from the length of a record's block: HTTP headers and, in a response, chunked framing."""
+    revisit = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: \r\n\r\n"
+    response = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
+    framed = f"n + (n // {chunk}) * {len(f'{chunk:x}') + 4} + CASE WHEN n % {chunk} > 0 THEN length(to_hex(n % {chunk})) + 4 ELSE 0 END + 5"
+    return f"""WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS digest FROM pages),
+l AS (SELECT digest, max(page_id) AS last_page FROM p WHERE n >= {min_revisit} GROUP BY digest),
+k AS (SELECT p.*, CASE WHEN page_id < last_page THEN last_page END AS refers_to FROM p LEFT JOIN l USING (digest))
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to,
+       CAST(greatest(1, ceil((CASE WHEN refers_to IS NULL THEN {len(response)} + {framed}
+                              ELSE {len(revisit)} + length(CAST(n AS VARCHAR)) END) / {segment})) AS INTEGER) AS segments,
+       CAST(NULL AS VARCHAR) AS problem FROM k"""
+
+
 def simplex(k: int = 8, rounds: int = 10, width: int = 64, scale: int = 1024, salt: str = "3:") -> str:
     """All rounds written out: means, then the nearest of them."""
     near = "list_sum(list_transform(list_zip(v.x, m.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
@@ -92,4 +109,4 @@ FROM x{group_levels}, b{group_levels} b"""
 
 
 def all_sql() -> dict[str, str]:
-    return {"op11_simplex": simplex(), "op13_merkle": merkle()}
+    return {"op1_warc": warc(), "op11_simplex": simplex(), "op13_merkle": merkle()}

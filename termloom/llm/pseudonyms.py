@@ -40,7 +40,7 @@ _FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
 _DAYS = datetime.date(2100, 1, 1).toordinal() - _FIRST_DAY
 
 PATTERN = re.compile(
-    r"(?P<secret>\bAKIA[A-Z0-9]{16}\b|(?:password|passwd|pwd|secret|token|api[_-]?key)\s*[=:]\s*[\"']?[A-Za-z0-9_\-]{8,})"
+    r"(?P<secret>\bAKIA[A-Z0-9]{16}\b|(?i:password|passwd|pwd|secret|token|api[_-]?key)\s*[=:]\s*[\"']?[A-Za-z0-9_\-]{8,})"
     r"|(?P<email>(?<![A-Za-z0-9._%+\-])[A-Za-z0-9][A-Za-z0-9._%+\-]*@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,})"
     r"|(?P<iban>\b[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)\b)"
     r"|(?<![\d.\-/])(?:"
@@ -52,7 +52,7 @@ PATTERN = re.compile(
     r")(?!\d|[.\-/]\d)"
 )
 # Every value holds one of these; the pattern is tried only around them.
-ANCHOR, AROUND, BLANK = re.compile(r"[0-9@=:]"), 100, re.compile(r"\s")
+ANCHOR, AROUND, BLANK, BLANKS = re.compile(r"[0-9@=:]"), 100, re.compile(r"\s"), re.compile(r"\s*")
 
 
 def permute(value: int, size: int, key: bytes, tweak: str, back: bool = False) -> int:
@@ -204,15 +204,19 @@ _REWRITE: dict[str, Callable[[str, bytes, bool], str | None]] = {
 
 
 def windows(text: str) -> list[tuple[int, int]]:
-    """Disjoint parts of a text, whole words each, outside of which no value can stand."""
+    """Disjoint parts of a text, whole words each, outside of which no value can stand. Blanks
+    beside an anchor, of which a value may hold any number, do not count as its surroundings."""
     out: list[list[int]] = []
     for m in ANCHOR.finditer(text):
         if out and m.start() <= out[-1][1]:
             continue
-        floor, start = out[-1][1] if out else 0, max(m.start() - AROUND, 0)
+        floor, lead = out[-1][1] if out else 0, m.start()
+        while lead > floor and text[lead - 1].isspace():
+            lead -= 1
+        start = max(lead - AROUND, 0)
         while start > floor and not text[start - 1].isspace():
             start -= 1
-        end = BLANK.search(text, min(m.start() + AROUND, len(text)))
+        end = BLANK.search(text, min(BLANKS.match(text, m.end()).end() + AROUND, len(text)))
         stop = end.start() if end else len(text)
         if out and start <= floor:
             out[-1][1] = stop
@@ -221,6 +225,7 @@ def windows(text: str) -> list[tuple[int, int]]:
     grown = []
     for start, stop in out:  # no value may be cut off at the end of a window
         last = max((m.end() for m in ANCHOR.finditer(text, start, stop)), default=stop)
+        last = BLANKS.match(text, last).end()
         end = BLANK.search(text, min(max(stop, last + AROUND), len(text)))
         stop = end.start() if end else len(text)
         if grown and start <= grown[-1][1]:

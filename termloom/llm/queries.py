@@ -43,9 +43,13 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 PSEUDONYM_KEY = b"termloom registered query"
 
 
+# A web page has a few KB: with these nearly all pages come in several segments.
+SEGMENT_BYTES = 1024
+
+
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_table_path(spark, "archives")
-    warc.write(warc.pages_to_records(read(spark, sf_dir, "pages")), path)
+    warc.write(warc.pages_to_records(read(spark, sf_dir, "pages")), path, SEGMENT_BYTES)
     whole = warc.payloads(warc.reassemble(warc.read(spark, path)))
     return whole.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "segments", "problem")
 

@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from termloom.session import HOT_KEY_LIMIT, materialise, stored
+
 END = "\r\n\r\n"
 SEGMENT_BYTES = 1 << 16
 CHUNK_BYTES = 1 << 13
@@ -74,9 +76,8 @@ def pages_to_records(pages: DataFrame, min_revisit: int = MIN_REVISIT_BYTES) ->
         .groupBy("digest")
         .agg(F.max("page_id").alias("last_page"), F.count("*").alias("copies"))
         .where("copies > 1")
-        .select("digest", "last_page")
     )
-    known = rows.join(last, "digest", "left")
+    known = with_last_page(rows, last, min_revisit)
     revisit = F.coalesce(F.col("page_id") < F.col("last_page"), F.lit(False))
     http = F.concat(
         F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"),
@@ -94,6 +95,24 @@ def pages_to_records(pages: DataFrame, min_revisit: int = MIN_REVISIT_BYTES) ->
     )
 
 
+def with_last_page(rows: DataFrame, last: DataFrame, min_revisit: int, limit: int = HOT_KEY_LIMIT) -> DataFrame:
+    """``rows`` with ``last_page`` of their digest, null where it is not in ``last``.
+
+    Payloads move only where ``last`` (counted) is too large to broadcast, and then only those
+    of at least ``min_revisit`` bytes whose digest is not among the hot ones: at most ``limit``
+    digests can have the ``limit``-th part of all copies each."""
+    last = materialise(last, "digests")
+    n, total = last.agg(F.count("*"), F.coalesce(F.sum("copies"), F.lit(0))).first()
+    pages = last.select("digest", "last_page")
+    if n <= limit:
+        return rows.join(F.broadcast(pages), "digest", "left")
+    is_hot = F.col("copies") * F.lit(limit) >= F.lit(total)
+    hot, cold = last.where(is_hot).select("digest", "last_page"), last.where(~is_hot).select("digest", "last_page")
+    found = rows.join(F.broadcast(hot), "digest", "left")
+    open_ = F.col("last_page").isNull() & (F.col("n") >= min_revisit)
+    return found.where(~open_).unionByName(found.where(open_).drop("last_page").join(cold, "digest", "left"))
+
+
 def write(records: DataFrame, path: str, segment_bytes: int = SEGMENT_BYTES, compression: str = "gzip") -> None:
     """Write records (columns as ``pages_to_records`` gives them) as WARC files."""
     n = F.octet_length("block")
@@ -188,20 +207,22 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 def reassemble(records: DataFrame) -> DataFrame:
     """Whole records: (record_id, record_type, target_uri, page_id, refers_to, digest,
-    segments, block, problem).
+    segments, block, problem). ``records`` is stored first, so archives are parsed once. A
+    segment sent again with the same bytes counts once.
 
     ``problem``: what the reader found, ``no origin`` (continuations without a first
     segment), ``missing segment``, ``repeated segment``, ``no total length`` or ``wrong
     length``; null when sound. Broken records are kept, with what is there of the block.
     """
     kept = ["record_id", "record_type", "target_uri", "page_id", "refers_to", "digest"]
+    records = stored(records, "records")
     whole = records.where(F.col("segment_number").isNull()).select(*kept, F.lit(1).alias("segments"), "block", "problem")
     key = F.coalesce("origin_id", "record_id")
     first = lambda c: F.max(F.when(F.col("origin_id").isNull(), F.col(c))).alias(c)
     part = F.struct("segment_number", "block")
     groups = records.where(F.col("segment_number").isNotNull()).groupBy(key.alias("key")).agg(
         *[first(c) for c in kept],
-        F.sort_array(F.collect_list(part)).alias("parts"), F.max("total_length").alias("total"),
+        F.sort_array(F.collect_set(part)).alias("parts"), F.max("total_length").alias("total"),
         F.max("segment_number").alias("last"), F.count_distinct("segment_number").alias("distinct"), F.max("problem").alias("found"),
     )
     together = groups.select("*", joined(F.transform("parts", lambda p: p["block"])).alias("block")).select(
