@@ -10,10 +10,9 @@ the other way round. So the same question with other numbers is caught, and two
 merely share a frame with unrelated values are not.
 
 A window without a plain word says nothing as a template, as all lists of numbers have the
-same: it stands for its literal words. Diagonals are opened only by windows that occur once in
-their item, or, in an item without such windows, by the first occurrence of each where a run
-begins in the document; windows that repeat only add to diagonals that are open. So repeats
-on both sides are never paired with each other.
+same: it stands for its literal words. Diagonals are opened by windows that occur once in their
+item, and by the first of several where a run of it begins in the document; the others only
+add to diagonals that are open. So repeats on both sides are never paired with each other.
 
 The windows of the benchmark are held by the tasks as a sorted array of hashes, in blocks of
 at most ``BLOCK_WINDOWS``; a larger benchmark takes one pass over the documents per block.
@@ -220,10 +219,9 @@ def leaks(
         hits = spark.createDataFrame([], HITS)
     hits = materialise(hits.withColumnRenamed("id", "doc_id"), "hits")
     times = grams.groupBy("id", "hash", "width").agg(F.count("*").alias("times"), F.min("position").alias("first_at"))
-    some = times.groupBy("id").agg((F.min("times") == 1).alias("has_single"))
     # 1: opens wherever it is; 2: where a run begins; 0: adds to open diagonals only
-    role = F.when(F.col("times") == 1, 1).when(~F.col("has_single") & (F.col("position") == F.col("first_at")), 2).otherwise(0)
-    item = grams.join(times, ["id", "hash", "width"]).join(some, "id").select(
+    role = F.when(F.col("times") == 1, 1).when(F.col("position") == F.col("first_at"), 2).otherwise(0)
+    item = grams.join(times, ["id", "hash", "width"]).select(
         "hash", "width", F.col("id").alias("item_id"), F.col("position").alias("at"), role.alias("role"),
         F.col("n_tokens").alias("item_tokens"), F.col("slots").alias("item_slots"),
     )
@@ -240,7 +238,11 @@ def leaks(
         open_ = both.select("doc_id", "item_id", F.col("position").alias("shift")).distinct()
         wanted = open_.join(rest, "item_id").withColumn("position", F.col("shift") + F.col("at"))
         more = hits.drop("opens", "n_tokens").join(wanted, ["doc_id", "position", "hash", "width"])
-        both = both.unionByName(more.select(*columns))
+        again = hits.where(~F.col("opens")).drop("opens", "n_tokens").join(
+            open_.join(item.where("role = 2"), "item_id").withColumn("position", F.col("shift") + F.col("at")),
+            ["doc_id", "position", "hash", "width"],
+        )
+        both = both.unionByName(more.select(*columns)).unionByName(again.select(*columns))
     merged = both.groupBy("doc_id", "item_id", "position").agg(
         F.first("item_tokens").alias("n_tokens"),
         F.array_distinct(F.flatten(F.collect_set(F.sequence("at", F.col("at") + F.col("width") - 1)))).alias("places"),

@@ -86,3 +86,16 @@ def test_edges(spark):
     assert sorted((r.doc_id or 0, r.component_id or 0) for r in found) == [(0, 0), (2, 2), (5, 2), (5, 5), (5, 5)]
     docs = spark.createDataFrame([(1, "a b c d e f", "x"), (2, "a b c d e f", "y"), (3, None, "z")], kind + ", lang string")
     assert sorted(r.doc_id for r in jaccard.keep_one(docs).collect()) == [1, 3]
+
+
+def test_keep_one_goes_by_rows(spark):
+    """Shared ids, repeated rows and null ids: one row of each group, no text lost."""
+    long, own = "a b c d e f g h", "one two three four five six"
+    rows = [(2, long), (2, long), (5, long), (5, own), (None, long), (None, None), (None, None), (9, ""), (9, ""), (6, own.upper()), (7, "solo words are here now"), (7, "solo words are here now")]
+    docs = spark.createDataFrame([(*r, "x", 1, 2, 3) for r in rows], "doc_id long, text string, _other string, row int, text_key int, `a.b` int")
+    left = jaccard.keep_one(docs)
+    assert left.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in left.collect()), key=str)
+    assert got == sorted([(2, long), (5, own), (None, long), (None, None), (None, None), (9, ""), (9, ""), (7, "solo words are here now")], key=str)
+    again = jaccard.keep_one(left)
+    assert sorted(((r.doc_id, r.text) for r in again.collect()), key=str) == got

@@ -43,3 +43,17 @@ def test_documents(spark):
     got = {r.doc_id: r for r in lines.dedupe(docs).collect()}
     assert {k: (r.text, [tuple(x) for x in r.removed]) for k, r in got.items()} == want
     assert any(lost for _, lost in want.values())
+
+
+def test_shared_ids_keep_their_own_text(spark):
+    a, b = "first unit of eight words stands here today", "another unit of eight words stands here now"
+    rows = [(7, f"{a}\n{b}"), (7, "Completely different text.\n" + b), (7, f"{a}\n{b}"), (9, f"{b}\nmore"), (None, a)]
+    docs = spark.createDataFrame([(*r, 1, 2, 3, "z") for r in rows], "doc_id long, text string, _id int, _lost int, `a.b` int, row string")
+    got = lines.dedupe(docs)
+    assert got.columns == [*docs.columns, "removed"]
+    texts = sorted(((r.doc_id, r.text) for r in got.collect()), key=str)
+    keys = {t: k for t, k in docs.selectExpr("text", "xxhash64(text) k").distinct().collect()}
+    first = keys[rows[0][1]] < keys[rows[1][1]]  # which of id 7's texts comes first
+    other = "Completely different text.\n"
+    want = [(7, rows[0][1] if first else f"{a}\n")] * 2 + [(7, other if first else rows[1][1]), (9, "more"), (None, a)]
+    assert texts == sorted(want, key=str)

@@ -66,3 +66,16 @@ def test_frame(spark):
     assert found[None].text == "clean" and [tuple(s) for s in found[1].pii_spans] == [("phone", 5, 12)]
     assert P.pseudonymise(docs.limit(0), KEY).collect() == []
     assert {r.text for r in P.pseudonymise(got, KEY, back=True).collect()} == {r[1] for r in rows}
+
+
+def test_blanks_inside_a_value_and_case():
+    one = P.Pseudonymiser(KEY)
+    for text in ("password" + " " * 150 + "= abcdefgh12 end", "pwd =" + "\n" * 400 + "abcdefgh12", "PASSWORD=abcdefgh12", "Api-Key: abcdefgh12"):
+        new, found = one.rewrite(text)
+        assert [k for k, _, _ in found] == ["secret"] and "abcdefgh12" not in new
+
+
+def test_windows_on_documents(spark):
+    for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect():
+        whole = [(m.start(), m.end()) for m in P.PATTERN.finditer(r.text)]
+        assert [(m.start(), m.end()) for a, b in P.windows(r.text) for m in P.PATTERN.finditer(r.text, a, b)] == whole

@@ -49,7 +49,9 @@ def test_damage(spark, tmp_path):
     assert problem(records.where("segment_number != 2")) == ["missing segment"]
     assert problem(records.where("origin_id is not null")) == ["no origin"]
     assert problem(records.where("total_length is null")) == ["no total length"]
-    assert problem(records.union(records.where("segment_number = 2"))) == ["repeated segment"]
+    assert problem(records.union(records.where("segment_number = 2"))) == [None]  # sent again
+    other = records.where("segment_number = 2").withColumn("block", F.expr("reverse(block)"))
+    assert problem(records.union(other)) == ["repeated segment"]
     assert problem(records.withColumn("block", F.expr("case when segment_number = 1 then substring(block, 2) else block end"))) == ["wrong length"]
     cut = warc.payloads(warc.reassemble(records).withColumn("block", F.expr("substring(block, 1, 300)"))).first()
     assert cut.problem == "bad chunk"
@@ -62,3 +64,17 @@ def test_parse():
     assert [p for _, _, p in warc.parse(one[:-6])] == ["cut short"]
     assert warc.unchunk(b"3;x=y\r\nabc\r\n0\r\n\r\n") == (b"abc", None)
     assert warc.unchunk(b"5\r\nabc")[1] == "bad chunk"
+
+
+def test_many_repeated_payloads(spark, tmp_path, monkeypatch):
+    """Digests beyond the broadcast bound go by hot ones and the rest."""
+    rows = [(i, "u", f"{'abc' * 400}{min(i % 40, 20)}") for i in range(400)] + [(900 + i, "u", None) for i in range(50)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    monkeypatch.setattr(warc.with_last_page, "__defaults__", (10,))
+    got = {r.page_id: r for r in back(spark, pages, str(tmp_path / "w"), segment_bytes=200).collect()}
+    last = {}
+    for i, _, html in rows[:400]:
+        last[html] = i
+    assert len(got) == 450 and all(r.problem is None for r in got.values())
+    assert all(got[i].refers_to == (last[h] if i != last[h] else None) for i, _, h in rows[:400])
+    assert all(got[900 + i].refers_to is None and got[900 + i].payload_bytes == 0 for i in range(50))
