@@ -108,6 +108,18 @@ def sparse_sq_norms(table) -> np.ndarray:
     return np.bincount(row_of, weights=v * v, minlength=table.num_rows)
 
 
+def from_gram(gram: np.ndarray, na: np.ndarray, nb: np.ndarray, metric: str) -> np.ndarray:
+    """Distances from dot products and squared norms."""
+    if metric == "cosine":
+        scale = np.sqrt(na)[:, None] * np.sqrt(nb)[None, :]
+        return 1.0 - np.divide(gram, scale, out=np.zeros_like(gram), where=scale > 0)
+    total = na[:, None] + nb[None, :]
+    d2 = np.maximum(total - 2.0 * gram, 0.0)
+    # below rounding of the subtraction: the rows are equal
+    d2[d2 < 1e-13 * total] = 0.0
+    return np.sqrt(d2)
+
+
 def distances(table, left, right, metric: str) -> np.ndarray:
     """Distance matrix of one tile, from dense ``vec`` or sparse ``idx``/``val`` rows."""
     dense = "vec" in table.column_names
@@ -120,15 +132,10 @@ def distances(table, left, right, metric: str) -> np.ndarray:
         sq = sparse_sq_norms(table)
         gram = sparse_gram(table, left, right, vals=True)
     na, nb = sq[left], sq[right]
-    if metric == "cosine":
-        scale = np.sqrt(na)[:, None] * np.sqrt(nb)[None, :]
-        return 1.0 - np.divide(gram, scale, out=np.zeros_like(gram), where=scale > 0)
+    if metric == "cosine" or not dense:
+        return from_gram(gram, na, nb, metric)
     total = na[:, None] + nb[None, :]
     d2 = np.maximum(total - 2.0 * gram, 0.0)
-    if not dense:
-        # below rounding of the subtraction: the rows are equal
-        d2[d2 < 1e-13 * total] = 0.0
-        return np.sqrt(d2)
     # the subtraction loses digits for close rows: redo those from differences
     i, j = np.nonzero(d2 < 1e-6 * total)
     for lo in range(0, len(i), 1 << 16):
@@ -164,17 +171,87 @@ def profile_kernel(metric: str):
 
 # Range neighbours.
 
-def eps_count_kernel(metric: str, eps: float):
-    def run(table: pa.Table) -> pa.Table:
+class Cells:
+    """Cells of the rows of a list column, for dot products of any of its rows."""
+
+    def __init__(self, codes: np.ndarray, lengths: np.ndarray, values: np.ndarray | None = None) -> None:
+        self.codes, self.at, self.values = codes, np.concatenate(([0], np.cumsum(lengths))), values
+
+    def of(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row number within ``rows``, code, value) of all cells of some rows."""
+        n = self.at[rows + 1] - self.at[rows]
+        who = np.repeat(np.arange(len(rows)), n)
+        cell = np.arange(len(who)) + np.repeat(self.at[rows] - np.concatenate(([0], np.cumsum(n)[:-1])), n)
+        return who, self.codes[cell], np.ones(len(who)) if self.values is None else self.values[cell]
+
+    def gram(self, left: np.ndarray, right: np.ndarray, below: int | None = None, width: int = CHUNK) -> np.ndarray:
+        """Dot products over the codes that both sides have (and that are ``below``)."""
+        sides = [self.of(left), self.of(right)]
+        if below is not None:
+            sides = [tuple(x[s[1] < below] for x in s) for s in sides]
+        both = np.intersect1d(sides[0][1], sides[1][1])
+        out = np.zeros((len(left), len(right)))
+        for lo in range(0, len(both), width):
+            part = both[lo : lo + width]
+            dense = []
+            for (who, code, value), rows in zip(sides, (left, right)):
+                at = np.minimum(np.searchsorted(part, code), len(part) - 1)
+                here = part[at] == code
+                m = np.zeros((len(rows), len(part)))
+                m[who[here], at[here]] = value[here]
+                dense.append(m)
+            out += dense[0] @ dense[1].T
+        return out
+
+
+def near_parts(table: pa.Table, metric: str, eps: float):
+    """(left rows, right rows, same side, which pairs are within ``eps``) of a tile; a row is
+    never near itself.
+
+    A range tile is one part; with a column ``light`` only pairs with a light row count. A
+    tile of postings has a part per feature (``rank``), and a pair counts where its smallest
+    common prefix feature is.
+    """
+    if "rank" not in table.column_names:
         left, right, same = split_sides(table)
-        near, ids = distances(table, left, right, metric) <= eps, column(table, "id")
+        near = distances(table, left, right, metric) <= eps
+        if "light" in table.column_names:
+            light = column(table, "light").astype(bool)
+            near &= light[left][:, None] | light[right][None, :]
         if same:
-            np.fill_diagonal(near, True)
-            who, n = ids[left], near.sum(axis=1)
-        else:
-            who = np.concatenate([ids[left], ids[right]])
-            n = np.concatenate([near.sum(axis=1), near.sum(axis=0)])
-        return pa.table({"id": who, "n": n.astype(np.int64)})
+            np.fill_diagonal(near, False)
+        yield left, right, same, near
+        return
+    names, _, lengths = list_parts(table, "idx")
+    codes = names.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    cells = Cells(codes, lengths, table.column("val").combine_chunks().flatten().to_numpy(zero_copy_only=False))
+    prefix, _, lengths = list_parts(table, "prefix")
+    prefixes = Cells(prefix.to_numpy(zero_copy_only=False), lengths)
+    sq, ranks = sparse_sq_norms(table), column(table, "rank")
+    is_left, same = column(table, "left").astype(bool), bool(column(table, "diag")[0])
+    order = np.argsort(ranks, kind="stable")
+    for rows in np.split(order, np.flatnonzero(np.diff(ranks[order])) + 1):
+        left, right = (rows, rows) if same else (rows[is_left[rows]], rows[~is_left[rows]])
+        if len(left) * len(right) < 1 + same:
+            continue
+        near = from_gram(cells.gram(left, right), sq[left], sq[right], metric) <= eps
+        if same:
+            np.fill_diagonal(near, False)
+        if near.any():
+            near &= prefixes.gram(left, right, below=ranks[rows[0]]) == 0
+        yield left, right, same, near
+
+
+def eps_count_kernel(metric: str, eps: float):
+    """(id, n): other rows within ``eps`` that a tile finds, for rows that have one."""
+
+    def run(table: pa.Table) -> pa.Table:
+        n = np.zeros(table.num_rows, np.int64)
+        for left, right, same, near in near_parts(table, metric, eps):
+            n[left] += near.sum(axis=1)
+            if not same:
+                n[right] += near.sum(axis=0)
+        return pa.table({"id": column(table, "id")[n > 0], "n": n[n > 0]})
 
     return run
 
@@ -213,23 +290,26 @@ def eps_edges_kernel(metric: str, eps: float):
     """
 
     def run(table: pa.Table) -> pa.Table:
-        left, right, same = split_sides(table)
-        near = distances(table, left, right, metric) <= eps
         ids, core = column(table, "id"), column(table, "core").astype(bool)
-        cl, cr = core[left], core[right]
-        i, j = np.nonzero(near & cl[:, None] & cr[None, :])
-        root = components(table.num_rows, left[i], right[j])
-        only = np.flatnonzero(core)
-        eu, ev = chain_edges(ids[only], root[only])
-        bi, bj = np.nonzero(near & ~cl[:, None] & cr[None, :])
-        bu, bv = [ids[left[bi]]], [ids[right[bj]]]
-        if not same:
-            bi, bj = np.nonzero(near & cl[:, None] & ~cr[None, :])
-            bu.append(ids[right[bj]])
-            bv.append(ids[left[bi]])
-        bu, bv = np.concatenate(bu), np.concatenate(bv)
-        kind = np.concatenate([np.ones(len(eu), bool), np.zeros(len(bu), bool)])
-        return pa.table({"u": np.concatenate([eu, bu]), "v": np.concatenate([ev, bv]), "core": kind})
+        none = np.zeros(0, np.int64)
+        u, v, kind = [none], [none], [np.zeros(0, bool)]
+        for left, right, same, near in near_parts(table, metric, eps):
+            cl, cr = core[left], core[right]
+            rows = np.unique(np.concatenate([left, right]))
+            i, j = np.nonzero(near & cl[:, None] & cr[None, :])
+            root = components(len(rows), np.searchsorted(rows, left[i]), np.searchsorted(rows, right[j]))
+            only = core[rows]
+            found = [chain_edges(ids[rows[only]], root[only])]
+            i, j = np.nonzero(near & ~cl[:, None] & cr[None, :])
+            found.append((ids[left[i]], ids[right[j]]))
+            if not same:
+                i, j = np.nonzero(near & cl[:, None] & ~cr[None, :])
+                found.append((ids[right[j]], ids[left[i]]))
+            for k, (a, b) in enumerate(found):
+                u.append(a)
+                v.append(b)
+                kind.append(np.full(len(a), k == 0))
+        return pa.table({"u": np.concatenate(u), "v": np.concatenate(v), "core": np.concatenate(kind)})
 
     return run
 

@@ -1,4 +1,4 @@
-"""DBSCAN over tiled range passes.
+"""DBSCAN over tiled passes (see distance.py).
 
 Neighbour pairs are never emitted. The first pass counts neighbours per row. In the
 second each tile returns a spanning forest of its core-core links, so a dense group
@@ -8,12 +8,14 @@ which a border row has fewer than ``min_samples``.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termloom.functions import kernels as K
-from termloom.operators.distance import count_neighbors, place_by_eps
-from termloom.operators.tiles import BLOCK_ROWS, RANGE_KEYS, range_tiles, run_tiles
+from termloom.operators.distance import count_neighbors, eps_passes
+from termloom.operators.tiles import BLOCK_ROWS
 from termloom.session import hot_split_join, materialise, with_row_index
 
 NOISE = -1
@@ -98,11 +100,11 @@ def dbscan(
 
     A border row goes to the lowest-numbered cluster it touches.
     """
-    placed, n_tiles = place_by_eps(items, eps, metric, block_rows)
-    counts = materialise(count_neighbors(placed, n_tiles, eps, min_samples, metric), "counts")
-    flagged = placed.join(counts.select("id", F.col("is_core").alias("core")), "id")
-    kernel, schema = K.eps_edges_kernel(metric, eps), "u bigint, v bigint, core boolean"
-    links = materialise(run_tiles(range_tiles(flagged), RANGE_KEYS, n_tiles, kernel, schema), "links")
+    items, passes = eps_passes(items, eps, metric, block_rows)
+    counts = materialise(count_neighbors(items, passes, eps, min_samples, metric), "counts")
+    core_flags = counts.select("id", F.col("is_core").alias("core"))
+    found = [p.run(K.eps_edges_kernel(metric, eps), "u bigint, v bigint, core boolean", core_flags) for p in passes]
+    links = materialise(reduce(DataFrame.unionByName, found), "links")
 
     linked = connected_components(links.where("core"), local_edges)
     core = counts.where("is_core").select(F.col("id").alias("node"))

@@ -166,6 +166,11 @@ pairs AS (
               ELSE sqrt(a.s + b.s - 2 * coalesce(g, 0)) END AS d
   FROM sq a JOIN sq b ON a.doc_id <> b.doc_id LEFT JOIN dots ON dots.i = a.doc_id AND dots.j = b.doc_id)"""
 
+DOCPAIRS_COSINE = DOCPAIRS.replace("pairs AS (", "distances AS (") + """,
+pairs AS (
+  SELECT a.doc_id AS i, b.doc_id AS j, 1 - coalesce(g / nullif(sqrt(a.s) * sqrt(b.s), 0), 0) AS d
+  FROM sq a JOIN sq b ON a.doc_id <> b.doc_id LEFT JOIN dots ON dots.i = a.doc_id AND dots.j = b.doc_id)"""
+
 SPLIT = VEC + """,
 ranked AS (SELECT *, row_number() OVER (ORDER BY vec_id) AS rn, count(*) OVER () AS total FROM vec),
 train AS (SELECT * FROM ranked WHERE rn <= floor(total * 0.6)),
@@ -384,6 +389,11 @@ SELECT (SELECT count(*) FROM size) AS n_clusters, round(s, 6) + 0.0 AS silhouett
     sql["dbscan_cosine"] = f"WITH RECURSIVE {_dbscan(_pairs('cosine'), vec_ids, 0.30, 3)} SELECT id AS vec_id, cluster, is_core FROM db"
     sql["dbscan_documents"] = f"""WITH RECURSIVE {_dbscan(DOCPAIRS, 'SELECT doc_id AS id FROM documents', 0.2, 3)}
 SELECT id AS doc_id, cluster, is_core FROM db"""
+    doc_ids = "SELECT doc_id AS id FROM documents"
+    sql["dbscan_documents_cosine"] = f"""WITH RECURSIVE {_dbscan(DOCPAIRS_COSINE, doc_ids, 0.2, 3)}
+SELECT id AS doc_id, cluster, is_core FROM db"""
+    sql["eps_neighbors_documents"] = f"""WITH RECURSIVE {_dbscan(DOCPAIRS, doc_ids, 0.2, 3)}
+SELECT id AS doc_id, n AS n_neighbors, CAST(n >= 3 AS INTEGER) AS is_core FROM cnt"""
     sql["dbscan_documents_report"] = f"""WITH RECURSIVE {_dbscan(DOCPAIRS, 'SELECT doc_id AS id FROM documents', 0.2, 3)},
 dcl AS (SELECT id, cluster, lang AS label FROM db JOIN documents ON doc_id = id),
 lab AS (SELECT cluster, label, count(*) AS n FROM dcl GROUP BY ALL),

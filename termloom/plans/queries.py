@@ -401,6 +401,20 @@ def dbscan_documents(spark, d):
     return got.select(F.col("id").alias("doc_id"), "cluster", F.col("is_core").cast("int").alias("is_core"))
 
 
+@query
+def eps_neighbors_documents(spark, d):
+    rows, _ = jobs.scaled_features(docs_of(spark, d))
+    got = distance.eps_neighbors(narrow(rows, "id", "idx", "val"), 0.2, MIN_SAMPLES)
+    return got.select(F.col("id").alias("doc_id"), "n_neighbors", F.col("is_core").cast("int").alias("is_core"))
+
+
+@query
+def dbscan_documents_cosine(spark, d):
+    rows, _ = jobs.scaled_features(docs_of(spark, d))
+    got = dbscan.dbscan(narrow(rows, "id", "idx", "val"), 0.2, MIN_SAMPLES, "cosine")
+    return got.select(F.col("id").alias("doc_id"), "cluster", F.col("is_core").cast("int").alias("is_core"))
+
+
 @query
 def dbscan_documents_report(spark, d):
     """The whole job: features of labelled articles, DBSCAN, report per cluster."""
