@@ -274,12 +274,37 @@ def components(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
         root = new
 
 
+def matrix_components(near: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Component numbers of the rows and of the columns of a matrix of links, -1 without any;
+    ``same``: rows and columns are the same nodes. Each row and column is opened once, so a
+    dense matrix costs no more than reading it."""
+    rows, cols = np.full(near.shape[0], -1), np.full(near.shape[1], -1)
+    if same:
+        cols = rows
+    open_r = near.any(axis=1)
+    open_c = open_r if same else near.any(axis=0)
+    for start in np.flatnonzero(open_r):
+        if rows[start] >= 0:
+            continue
+        new = np.array([start])
+        rows[new], open_r[new] = start, False
+        while len(new):
+            hit = np.flatnonzero(near[new].any(axis=0) & open_c)
+            cols[hit], open_c[hit] = start, False
+            if same:
+                new = hit
+                continue
+            new = np.flatnonzero(near[:, hit].any(axis=1) & open_r)
+            rows[new], open_r[new] = start, False
+    return rows, cols
+
+
 def chain_edges(ids: np.ndarray, root: np.ndarray):
     """A path through each component: keeps connectivity with at most n-1 edges and
     no node of degree above two."""
     order = np.lexsort((ids, root))
     a, b = order[:-1], order[1:]
-    linked = root[a] == root[b]
+    linked = (root[a] == root[b]) & (root[a] >= 0)
     return ids[a[linked]], ids[b[linked]]
 
 
@@ -295,11 +320,9 @@ def eps_edges_kernel(metric: str, eps: float):
         u, v, kind = [none], [none], [np.zeros(0, bool)]
         for left, right, same, near in near_parts(table, metric, eps):
             cl, cr = core[left], core[right]
-            rows = np.unique(np.concatenate([left, right]))
-            i, j = np.nonzero(near & cl[:, None] & cr[None, :])
-            root = components(len(rows), np.searchsorted(rows, left[i]), np.searchsorted(rows, right[j]))
-            only = core[rows]
-            found = [chain_edges(ids[rows[only]], root[only])]
+            a, b = matrix_components(near[np.ix_(cl, cr)], same)
+            who = ids[left[cl]] if same else np.concatenate([ids[left[cl]], ids[right[cr]]])
+            found = [chain_edges(who, a if same else np.concatenate([a, b]))]
             i, j = np.nonzero(near & ~cl[:, None] & cr[None, :])
             found.append((ids[left[i]], ids[right[j]]))
             if not same:
