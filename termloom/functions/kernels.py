@@ -491,24 +491,91 @@ def signature_batches(a: np.ndarray, b: np.ndarray, prime: int, mask: int):
 
 # k-means with centroids of checked size.
 
+def center_distances(table: pa.Table, means: np.ndarray, metric: str) -> tuple[np.ndarray, np.ndarray]:
+    """Distances of dense (``vec``) or sparse (``idx`` positions, ``val``) rows to all means, and
+    the nearest one, of equally near ones the first. Sparse rows are compared without their own
+    length, which would round small differences away."""
+    if "vec" in table.column_names:
+        x = dense_matrix(table, "vec")
+        d = np.empty((len(x), len(means)))
+        for c, mean in enumerate(means):
+            if metric == "cosine":
+                scale = np.sqrt((x * x).sum(axis=1)) * np.sqrt((mean * mean).sum())
+                d[:, c] = 1.0 - np.divide(x @ mean, scale, out=np.zeros(len(x)), where=scale > 0)
+            else:
+                d[:, c] = np.sqrt(((x - mean) ** 2).sum(axis=1))
+        return d, d.argmin(axis=1)
+    at, row_of, _ = list_parts(table, "idx")
+    at = at.to_numpy(zero_copy_only=False).astype(np.int64)
+    v = table.column("val").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    sq = np.bincount(row_of, weights=v * v, minlength=table.num_rows)
+    dots = np.empty((table.num_rows, len(means)))
+    for c, mean in enumerate(means):
+        dots[:, c] = np.bincount(row_of, weights=v * mean[at], minlength=table.num_rows)
+    own = (means * means).sum(axis=1)
+    if metric == "cosine":
+        scale = np.sqrt(sq)[:, None] * np.sqrt(own)[None, :]
+        d = 1.0 - np.divide(dots, scale, out=np.zeros_like(dots), where=scale > 0)
+        return d, d.argmin(axis=1)
+    score = own[None, :] - 2.0 * dots
+    return np.sqrt(np.maximum(sq[:, None] + score, 0.0)), score.argmin(axis=1)
+
+
 def assign_batches(means: np.ndarray, metric: str):
+    """(id, cluster, d): the nearest mean of each row, of equally near ones the first."""
+
     def run(batches):
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            x = dense_matrix(table, "vec")
-            if len(x) == 0:
+            if batch.num_rows == 0:
                 continue
-            d = np.empty((len(x), len(means)))
-            for c, mean in enumerate(means):
-                if metric == "cosine":
-                    scale = np.sqrt((x * x).sum(axis=1)) * np.sqrt((mean * mean).sum())
-                    d[:, c] = 1.0 - np.divide(x @ mean, scale, out=np.zeros(len(x)), where=scale > 0)
-                else:
-                    d[:, c] = np.sqrt(((x - mean) ** 2).sum(axis=1))
-            best = d.argmin(axis=1)
+            d, best = center_distances(pa.Table.from_batches([batch]), means, metric)
+            kept = [n for n in batch.schema.names if n == "vec"]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(best.astype(np.int32)), pa.array(d[np.arange(len(x)), best]), batch.column("vec")],
-                ["id", "cluster", "d", "vec"],
+                [batch.column("id"), pa.array(best.astype(np.int32)), pa.array(d[np.arange(len(d)), best]), *[batch.column(n) for n in kept]],
+                ["id", "cluster", "d", *kept],
             )
 
     return run
+
+
+def change_batches(before: np.ndarray | None, means: np.ndarray, metric: str):
+    """Per trial, what rows that change their cluster add to the sums of clusters:
+    (trial, c, pos, s), with the number of rows at the position after the last, and the least
+    margin between a row's nearest mean and the next one, as position -1. Without ``before``
+    all rows are new."""
+    trials, k, width = means.shape
+
+    def run(batches):
+        total, margin = np.zeros((trials, k, width + 1)), np.full(trials, np.inf)
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            if table.num_rows == 0:
+                continue
+            if "vec" in table.column_names:
+                x = dense_matrix(table, "vec")
+                who, at, v = np.repeat(np.arange(len(x)), width), np.tile(np.arange(width), len(x)), x.ravel()
+            else:
+                at, who, _ = list_parts(table, "idx")
+                at = at.to_numpy(zero_copy_only=False).astype(np.int64)
+                v = table.column("val").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+            for t in range(trials):
+                d, new = center_distances(table, means[t], metric)
+                if k > 1:
+                    two = np.partition(d, 1, axis=1)
+                    margin[t] = min(margin[t], (two[:, 1] - two[:, 0]).min())
+                old = np.full(len(new), -1) if before is None else center_distances(table, before[t], metric)[1]
+                moved = new != old
+                cell = moved[who]
+                np.add.at(total[t], (new[who[cell]], at[cell]), v[cell])
+                np.add.at(total[t, :, width], new[moved], 1.0)
+                if before is not None:
+                    np.subtract.at(total[t], (old[who[cell]], at[cell]), v[cell])
+                    np.subtract.at(total[t, :, width], old[moved], 1.0)
+        t, c, pos = np.nonzero(total)
+        columns = [np.concatenate([t, np.arange(trials)]), np.concatenate([c, np.zeros(trials)]), np.concatenate([pos, np.full(trials, -1)])]
+        yield pa.RecordBatch.from_arrays(
+            [*[pa.array(x.astype(np.int32)) for x in columns], pa.array(np.concatenate([total[t, c, pos], margin]))],
+            ["trial", "c", "pos", "s"],
+        )
+
+    return run

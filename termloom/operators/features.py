@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from termloom.operators.terms import lexical_diversity, tfidf
-from termloom.session import hot_split_join, new_table_path, stored, with_row_index
+from termloom.session import hot_split_join, materialise, new_table_path, stored, with_row_index
 
 DIVERSITY = "__diversity"
 NUM_WORDS = "__num_words"
@@ -70,6 +70,16 @@ def sparse_rows(matrix: DataFrame) -> DataFrame:
     return packed.select("doc_id", F.col("c.feature").alias("idx"), F.col("c.value").alias("val"))
 
 
+def packed_rows(matrix: DataFrame) -> tuple[DataFrame, int]:
+    """(doc_id, idx array<int>, val array<double>) with one position per feature, and the
+    number of features; stored."""
+    matrix = stored(matrix, "matrix")
+    names, width = with_row_index(matrix.groupBy("feature").agg(F.count("*").alias("n_cells")), "feature", name="at")
+    cell = F.when(F.col("value") != 0, F.struct(F.col("at").cast("int").alias("at"), "value"))
+    packed = hot_split_join(matrix, names, "feature", "n_cells").groupBy("doc_id").agg(F.sort_array(F.collect_list(cell)).alias("c"))
+    return materialise(packed.select("doc_id", F.col("c.at").alias("idx"), F.col("c.value").alias("val")), "packed"), width
+
+
 def sparse_vectors(matrix: DataFrame) -> tuple[DataFrame, int]:
     """(doc_id, features ML vector) and the vector width, one position per feature.
 

@@ -64,13 +64,16 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def kmeans_report(docs: DataFrame, n_clusters: Sequence[int] = (25,), metric: str = "euclidean", repeats: int = 3) -> DataFrame:
-    """One row per cluster and entry of ``n_clusters``."""
+    """One row per cluster and entry of ``n_clusters``, with rounds and convergence of the fit."""
     rows, cells = scaled_features(docs)
     width = cells.agg(F.countDistinct("feature")).first()[0]
-    return _union([
-        _report(rows, kmeans.cluster_documents(cells, n, repeats, metric), width).withColumn("n_clusters", F.lit(n))
-        for n in n_clusters
-    ])
+    parts = []
+    for n in n_clusters:
+        found = kmeans.cluster_documents(cells, n, repeats, metric)
+        ended = found.select("n_iter", "converged").first()
+        report = _report(rows, narrow(found, "id", "cluster"), width)
+        parts.append(report.withColumns({"n_clusters": F.lit(n), "n_iter": F.lit(ended[0]), "converged": F.lit(ended[1])}))
+    return _union(parts)
 
 
 def dbscan_report(

@@ -110,23 +110,66 @@ db AS (
   FROM cnt LEFT JOIN cc USING (id) LEFT JOIN border USING (id))"""
 
 
-KM = VEC + """,
-start AS (SELECT CAST(row_number() OVER (ORDER BY vec_id) - 1 AS INTEGER) AS cluster, x FROM vec ORDER BY vec_id LIMIT 25),
-first AS (
-  SELECT vec_id, arg_min(cluster, (d, cluster)) AS cluster FROM (
-    SELECT vec_id, cluster, list_distance(vec.x, start.x) AS d FROM vec, start) GROUP BY vec_id),
-sums AS (
-  SELECT cluster, pos, sum(value) AS s, count(*) AS c FROM nv JOIN first USING (vec_id) GROUP BY cluster, pos),
-old AS (SELECT cluster, generate_subscripts(x, 1) - 1 AS pos, unnest(x) AS v FROM start),
-moved AS (
-  SELECT cluster, list((v + coalesce(s, 0)) / (1.0 + coalesce(c, 0)) ORDER BY pos) AS x
-  FROM old LEFT JOIN sums USING (cluster, pos) GROUP BY cluster),
-asg AS (
+def _apart(x: str, y: str, metric: str) -> str:
+    """Distance of two means; 1 for cosine where one is zero."""
+    if metric == "euclidean":
+        return f"list_distance({x}, {y})"
+    return f"(1.0 - coalesce(list_dot_product({x}, {y}) / nullif(sqrt(list_dot_product({x}, {x})) * sqrt(list_dot_product({y}, {y})), 0), 0))"
+
+
+def _lloyd(start: str, metric: str) -> str:
+    """Relation ll (trial, it, c, m, moved): the means of all rounds until they rest, from a
+    relation (trial, c, x). A round adds its means and divides by one row more."""
+    new = "list_transform(ll.m, lambda v, i: (v + coalesce(s.s[i], 0)) / (1 + coalesce(s.n, 0)))"
+    return f"""ll(trial, it, c, m, moved) AS (
+  SELECT trial, 0, c, x, CAST(1e300 AS DOUBLE) FROM ({start})
+  UNION ALL
+  SELECT trial, it, c, m, sum(d) OVER (PARTITION BY trial) FROM (
+    SELECT ll.trial, ll.it + 1 AS it, ll.c, {new} AS m, {_apart('ll.m', new, metric)} AS d
+    FROM ll LEFT JOIN (
+      SELECT trial, c, list(s ORDER BY pos) AS s, any_value(n) AS n FROM (
+        SELECT trial, c, pos, sum(x[pos]) AS s, count(*) AS n FROM (
+          SELECT trial, vec_id, any_value(x) AS x, arg_min(c, (d, c)) AS c FROM (
+            SELECT ll.trial, vec_id, x, ll.c, {_apart('x', 'll.m', metric)} AS d FROM ll, vec WHERE ll.moved >= 1e-6) GROUP BY trial, vec_id),
+          (SELECT unnest(range(1, 65)) AS pos) GROUP BY trial, c, pos) GROUP BY trial, c) s ON s.trial = ll.trial AND s.c = ll.c
+    WHERE ll.moved >= 1e-6))"""
+
+
+def _assigned(means: str, metric: str) -> str:
+    return f"""asg AS (
   SELECT vec_id, arg_min(cluster, (d, cluster)) AS cluster, min(d) AS d FROM (
-    SELECT vec_id, cluster, list_distance(vec.x, moved.x) AS d FROM vec, moved) GROUP BY vec_id),
+    SELECT vec_id, cluster, {_apart('vec.x', 'm', metric)} AS d FROM vec, {means}) GROUP BY vec_id)"""
+
+
+KM = VEC + ",\n" + _lloyd(
+    "SELECT 1 AS trial, CAST(row_number() OVER (ORDER BY vec_id) - 1 AS INTEGER) AS c, x FROM vec ORDER BY vec_id LIMIT 25", "euclidean"
+) + """,
+final AS (SELECT c AS cluster, m FROM ll WHERE it = (SELECT max(it) FROM ll)),
+""" + _assigned("final", "euclidean") + """,
 cl AS (SELECT asg.vec_id, asg.cluster, vec.label, vec.x FROM asg JOIN vec USING (vec_id))"""
 
 
+def _fit(metric: str) -> str:
+    """Three trials, starting in the order of a digest; the one nearest to the others."""
+    start = """SELECT * FROM (
+    SELECT t AS trial, x, CAST(row_number() OVER (PARTITION BY t ORDER BY md5(t || ':' || vec_id), vec_id) - 1 AS INTEGER) AS c
+    FROM vec, (SELECT unnest([1, 2, 3]) AS t)) WHERE c < 25"""
+    cost = "sum(d * d)" if metric == "euclidean" else "sum(d)"
+    return f"""WITH RECURSIVE {VEC},
+{_lloyd(start, metric)},
+ends AS (
+  SELECT trial, it, moved, m, CAST(row_number() OVER (PARTITION BY trial ORDER BY list_sum(m), c) - 1 AS INTEGER) AS cluster
+  FROM ll WHERE (trial, it) IN (SELECT (trial, max(it)) FROM ll GROUP BY trial)),
+pick AS (
+  SELECT trial FROM (
+    SELECT a.trial, sum({_apart('a.m', 'b.m', metric)}) AS d FROM ends a JOIN ends b ON a.cluster = b.cluster AND a.trial <> b.trial GROUP BY a.trial)
+  ORDER BY d, trial LIMIT 1),
+final AS (SELECT cluster, m, it, moved FROM ends WHERE trial = (SELECT trial FROM pick)),
+{_assigned('final', metric)}
+SELECT cluster, CAST(any_value(it) AS INTEGER) AS n_iter, any_value(moved) < 1e-6 AS converged, count(*) AS n, round({cost}, 6) + 0.0 AS cost
+FROM asg JOIN final USING (cluster) GROUP BY cluster"""
+
+
 def _report(cl: str) -> str:
     """Relations ent and var over a relation with (vec_id, cluster, label)."""
     return f"""
@@ -213,24 +256,70 @@ SELECT CAST(k AS INTEGER) AS k, count(*) AS n_test, round(avg(CAST(predicted = l
 FROM pred JOIN test ON test.vec_id = pred.query_id GROUP BY k"""
 
 
-DOCKM = SCALED + """,
-start AS (SELECT doc_id, CAST(row_number() OVER (ORDER BY doc_id) - 1 AS INTEGER) AS c FROM documents ORDER BY doc_id LIMIT 25),
-m0 AS (SELECT c, feature, value AS m FROM scaled JOIN start USING (doc_id)),
-q0 AS (SELECT c, sum(m * m) AS q FROM m0 GROUP BY c),
-t0 AS (SELECT s.doc_id, m0.c, sum(s.value * m) AS g FROM scaled s JOIN m0 USING (feature) GROUP BY ALL),
-a0 AS (
-  SELECT doc_id, arg_min(c, (q - 2 * coalesce(g, 0), c)) AS c
-  FROM documents CROSS JOIN q0 LEFT JOIN t0 USING (doc_id, c) GROUP BY doc_id),
-n0 AS (SELECT c, count(*) AS n FROM a0 GROUP BY c),
-s0 AS (SELECT c, feature, sum(value) AS s FROM scaled JOIN a0 USING (doc_id) GROUP BY ALL),
-m1 AS (
-  SELECT c, feature, (coalesce(m, 0) + coalesce(s, 0)) / (1.0 + coalesce(n, 0)) AS m
-  FROM m0 FULL JOIN s0 USING (c, feature) LEFT JOIN n0 USING (c)),
-q1 AS (SELECT c, sum(m * m) AS q FROM m1 GROUP BY c),
-t1 AS (SELECT s.doc_id, m1.c, sum(s.value * m) AS g FROM scaled s JOIN m1 USING (feature) GROUP BY ALL),
-a1 AS (
-  SELECT doc_id, arg_min(c, (q - 2 * coalesce(g, 0), c)) AS c
-  FROM documents CROSS JOIN q1 LEFT JOIN t1 USING (doc_id, c) GROUP BY doc_id)"""
+def _doc_lloyd(start: str) -> str:
+    """Relation dl (trial, it, c, feature, m, moved), means in long form, over ``scaled``, from
+    a relation (trial, c, doc_id); then asg (trial, doc_id, c) by the last means."""
+    def nearest(means: str) -> str:
+        return f"""SELECT trial, doc_id, arg_min(c, (q - 2 * coalesce(g, 0), c)) AS c
+      FROM (SELECT DISTINCT doc_id FROM scaled) CROSS JOIN (SELECT trial, c, sum(m * m) AS q FROM {means} GROUP BY trial, c)
+      LEFT JOIN (
+        SELECT doc_id, trial, c, sum(value * m) AS g FROM scaled JOIN {means} USING (feature) GROUP BY doc_id, trial, c) USING (doc_id, trial, c)
+      GROUP BY trial, doc_id"""
+
+    live = "(SELECT * FROM dl WHERE moved >= 1e-6)"
+    return f"""dl(trial, it, c, feature, m, moved) AS (
+  SELECT trial, 0, c, feature, value, CAST(1e300 AS DOUBLE) FROM scaled JOIN ({start}) USING (doc_id)
+  UNION ALL
+  SELECT trial, (SELECT max(it) + 1 FROM dl), c, feature, new, sum(CASE WHEN first THEN d ELSE 0 END) OVER (PARTITION BY trial) FROM (
+    SELECT *, sqrt(sum((new - m) * (new - m)) OVER (PARTITION BY trial, c)) AS d, row_number() OVER (PARTITION BY trial, c) = 1 AS first FROM (
+      SELECT trial, c, feature, coalesce(m, 0) AS m, (coalesce(m, 0) + coalesce(s, 0)) / (1.0 + coalesce(n, 0)) AS new
+      FROM (SELECT trial, c, feature, m FROM {live}) FULL JOIN (
+        SELECT trial, c, feature, sum(value) AS s FROM scaled JOIN ({nearest(live)}) USING (doc_id) GROUP BY trial, c, feature) USING (trial, c, feature)
+      LEFT JOIN (SELECT trial, c, count(*) AS n FROM ({nearest(live)}) GROUP BY trial, c) USING (trial, c)))),
+lasts AS (SELECT trial, it, c, feature, m, moved FROM dl WHERE (trial, it) IN (SELECT (trial, max(it)) FROM dl GROUP BY trial)),
+asg AS ({nearest('lasts')})"""
+
+
+DOCKM = SCALED + ",\n" + _doc_lloyd(
+    "SELECT 1 AS trial, doc_id, CAST(row_number() OVER (ORDER BY doc_id) - 1 AS INTEGER) AS c FROM documents ORDER BY doc_id LIMIT 25"
+)
+
+DOCREPORT = """lab AS (SELECT cluster, label, count(*) AS n FROM dcl GROUP BY ALL),
+tot AS (SELECT cluster, count(*) AS n FROM dcl GROUP BY cluster),
+ent AS (SELECT cluster, -sum(lab.n / tot.n * ln(lab.n / tot.n)) AS entropy FROM lab JOIN tot USING (cluster) GROUP BY cluster),
+var AS (
+  SELECT cluster, CASE WHEN any_value(n) < 2 THEN 0.0
+    ELSE sum(value * value) / any_value(n * w) - pow(sum(value) / any_value(n * w), 2) END AS variance
+  FROM scaled JOIN dcl ON dcl.id = doc_id JOIN tot USING (cluster), (SELECT count(DISTINCT feature) AS w FROM matrix)
+  GROUP BY cluster),
+tosum AS (
+  SELECT a.id AS vec_id, a.cluster AS own, b.cluster AS other, sum(pairs.d) AS s
+  FROM pairs JOIN dcl a ON a.id = i JOIN dcl b ON b.id = j GROUP BY ALL),
+ab AS (
+  SELECT vec_id, any_value(o.n) AS own_n,
+         max(CASE WHEN own = other THEN s / nullif(o.n - 1, 0) END) AS a,
+         min(CASE WHEN own <> other THEN s / z.n END) AS b
+  FROM tosum JOIN tot o ON o.cluster = own JOIN tot z ON z.cluster = other GROUP BY vec_id),
+sil AS (SELECT avg(CASE WHEN own_n = 1 THEN 0 ELSE coalesce((b - a) / nullif(greatest(a, b), 0), 0) END) AS s FROM ab)"""
+DOCREPORT_COLUMNS = """cluster, tot.n, round(entropy, 6) + 0.0 AS entropy, round(variance, 9) + 0.0 AS variance,
+       round((SELECT s FROM sil), 6) + 0.0 AS silhouette
+FROM tot JOIN ent USING (cluster) JOIN var USING (cluster)"""
+
+DOCKM_TRIALS = DOCPAIRS + ",\n" + _doc_lloyd("""SELECT * FROM (
+    SELECT t AS trial, doc_id, CAST(row_number() OVER (PARTITION BY t ORDER BY md5(t || ':' || doc_id), doc_id) - 1 AS INTEGER) AS c
+    FROM documents, (SELECT unnest([1, 2, 3]) AS t)) WHERE c < 25""") + """,
+places AS (
+  SELECT trial, c, CAST(row_number() OVER (PARTITION BY trial ORDER BY sum(m), c) - 1 AS INTEGER) AS cluster FROM lasts GROUP BY trial, c),
+ends AS (SELECT trial, cluster, feature, m FROM lasts JOIN places USING (trial, c)),
+gaps AS (
+  SELECT ta, tb, cluster, sqrt(sum(d * d)) AS d FROM (
+    SELECT ta, tb, cluster, feature, sum(CASE WHEN trial = ta THEN m ELSE -m END) AS d
+    FROM ends, (SELECT unnest([1, 2, 3]) AS ta) a, (SELECT unnest([1, 2, 3]) AS tb) b
+    WHERE ta <> tb AND trial IN (ta, tb) GROUP BY ta, tb, cluster, feature) GROUP BY ta, tb, cluster),
+pick AS (SELECT ta AS trial FROM gaps GROUP BY ta ORDER BY sum(d), ta LIMIT 1),
+dcl AS (
+  SELECT doc_id AS id, cluster, lang AS label FROM asg JOIN places USING (trial, c) JOIN documents USING (doc_id)
+  WHERE trial = (SELECT trial FROM pick))"""
 
 HASH32 = "CAST('0x' || substr(h, 7, 2) || substr(h, 5, 2) || substr(h, 3, 2) || substr(h, 1, 2) AS BIGINT)"
 
@@ -372,17 +461,25 @@ FROM sig JOIN documents USING (doc_id) GROUP BY source, slot HAVING count(*) >=
 SELECT min(doc_id) AS first_id, count(*) AS n_docs FROM whole GROUP BY s"""
     sql["minhash_table_roundtrip"] = f"WITH {sig} SELECT doc_id, 1 AS seed, 128 AS num_perm, slot, hv FROM sig"
 
-    sql["kmeans_assign"] = f"WITH {KM} SELECT vec_id, cluster, round(d, 6) + 0.0 AS d FROM asg"
-    sql["kmeans_documents_assign"] = f"WITH {DOCKM} SELECT doc_id, c AS cluster FROM a1"
-    sql["cluster_sizes"] = f"WITH {KM} SELECT cluster, count(*) AS n FROM cl GROUP BY cluster"
+    sql["kmeans_assign"] = f"WITH RECURSIVE {KM} SELECT vec_id, cluster, round(d, 6) + 0.0 AS d FROM asg"
+    sql["kmeans_documents_assign"] = f"""WITH RECURSIVE {DOCKM}
+SELECT doc_id, c AS cluster, CAST((SELECT max(it) FROM lasts) AS INTEGER) AS n_iter, (SELECT max(moved) FROM lasts) < 1e-6 AS converged FROM asg"""
+    sql["kmeans_documents"] = f"""WITH RECURSIVE {DOCKM_TRIALS},
+{DOCREPORT},
+ended AS (SELECT max(it) AS it, max(moved) AS moved FROM lasts WHERE trial = (SELECT trial FROM pick))
+SELECT 25 AS n_clusters, CAST((SELECT it FROM ended) AS INTEGER) AS n_iter, (SELECT moved FROM ended) < 1e-6 AS converged,
+       {DOCREPORT_COLUMNS}"""
+    sql["kmeans_fit"] = _fit("euclidean")
+    sql["kmeans_fit_cosine"] = _fit("cosine")
+    sql["cluster_sizes"] = f"WITH RECURSIVE {KM} SELECT cluster, count(*) AS n FROM cl GROUP BY cluster"
     report = KM + "," + _report("cl")
-    sql["cluster_label_counts"] = f"WITH {report} SELECT cluster, label, n FROM lab"
-    sql["cluster_entropy"] = f"WITH {report} SELECT cluster, round(entropy, 6) + 0.0 AS entropy FROM ent"
-    sql["cluster_variance"] = f"WITH {report} SELECT cluster, round(variance, 9) + 0.0 AS variance FROM var"
+    sql["cluster_label_counts"] = f"WITH RECURSIVE {report} SELECT cluster, label, n FROM lab"
+    sql["cluster_entropy"] = f"WITH RECURSIVE {report} SELECT cluster, round(entropy, 6) + 0.0 AS entropy FROM ent"
+    sql["cluster_variance"] = f"WITH RECURSIVE {report} SELECT cluster, round(variance, 9) + 0.0 AS variance FROM var"
     whole = "SELECT cluster, tot.n, round(entropy, 6) + 0.0 AS entropy, round(variance, 9) + 0.0 AS variance"
     tables = "FROM tot JOIN ent USING (cluster) JOIN var USING (cluster)"
-    sql["cluster_report"] = f"WITH {report} {whole} {tables}"
-    sql["silhouette"] = f"""WITH {KM},{_silhouette('cl')}
+    sql["cluster_report"] = f"WITH RECURSIVE {report} {whole} {tables}"
+    sql["silhouette"] = f"""WITH RECURSIVE {KM},{_silhouette('cl')}
 SELECT (SELECT count(*) FROM size) AS n_clusters, round(s, 6) + 0.0 AS silhouette FROM sil"""
 
     sql["dbscan"] = f"WITH RECURSIVE {db} SELECT id AS vec_id, cluster, is_core FROM db"
@@ -396,26 +493,8 @@ SELECT id AS doc_id, cluster, is_core FROM db"""
 SELECT id AS doc_id, n AS n_neighbors, CAST(n >= 3 AS INTEGER) AS is_core FROM cnt"""
     sql["dbscan_documents_report"] = f"""WITH RECURSIVE {_dbscan(DOCPAIRS, 'SELECT doc_id AS id FROM documents', 0.2, 3)},
 dcl AS (SELECT id, cluster, lang AS label FROM db JOIN documents ON doc_id = id),
-lab AS (SELECT cluster, label, count(*) AS n FROM dcl GROUP BY ALL),
-tot AS (SELECT cluster, count(*) AS n FROM dcl GROUP BY cluster),
-ent AS (SELECT cluster, -sum(lab.n / tot.n * ln(lab.n / tot.n)) AS entropy FROM lab JOIN tot USING (cluster) GROUP BY cluster),
-var AS (
-  SELECT cluster, CASE WHEN any_value(n) < 2 THEN 0.0
-    ELSE sum(value * value) / any_value(n * w) - pow(sum(value) / any_value(n * w), 2) END AS variance
-  FROM scaled JOIN dcl ON dcl.id = doc_id JOIN tot USING (cluster), (SELECT count(DISTINCT feature) AS w FROM matrix)
-  GROUP BY cluster),
-tosum AS (
-  SELECT a.id AS vec_id, a.cluster AS own, b.cluster AS other, sum(pairs.d) AS s
-  FROM pairs JOIN dcl a ON a.id = i JOIN dcl b ON b.id = j GROUP BY ALL),
-ab AS (
-  SELECT vec_id, any_value(o.n) AS own_n,
-         max(CASE WHEN own = other THEN s / nullif(o.n - 1, 0) END) AS a,
-         min(CASE WHEN own <> other THEN s / z.n END) AS b
-  FROM tosum JOIN tot o ON o.cluster = own JOIN tot z ON z.cluster = other GROUP BY vec_id),
-sil AS (SELECT avg(CASE WHEN own_n = 1 THEN 0 ELSE coalesce((b - a) / nullif(greatest(a, b), 0), 0) END) AS s FROM ab)
-SELECT cluster, tot.n, round(entropy, 6) + 0.0 AS entropy, round(variance, 9) + 0.0 AS variance,
-       round((SELECT s FROM sil), 6) + 0.0 AS silhouette
-FROM tot JOIN ent USING (cluster) JOIN var USING (cluster)"""
+{DOCREPORT}
+SELECT {DOCREPORT_COLUMNS}"""
     dcl = "dcl AS (SELECT vec_id, cluster, label, x FROM db JOIN vec ON vec.vec_id = db.id)"
     sql["dbscan_report"] = f"""WITH RECURSIVE {db},{dcl},{_report('dcl')},{_silhouette('dcl')}
 {whole}, round((SELECT s FROM sil), 6) + 0.0 AS silhouette {tables}"""

@@ -48,11 +48,9 @@ def vectors_of(spark, d):
 
 
 def clustered(spark, d):
-    """Embeddings with the cluster after one mean update from the 25 lowest ids."""
+    """Embeddings with their cluster, converged from the 25 lowest ids."""
     rows = vectors_of(spark, d)
-    start = kmeans.initial_means(rows, kmeans.CLUSTERS)
-    means = kmeans.update_means(kmeans.assign(rows, start), start)
-    got = kmeans.assign(rows, means)
+    got = kmeans.fit_predict(rows, seed=None).drop("n_iter", "converged")
     return materialise(got.join(rows.select("id", "label"), "id"), "clustered")
 
 
@@ -353,28 +351,38 @@ def kmeans_assign(spark, d):
     return clustered(spark, d).select(F.col("id").alias("vec_id"), "cluster", r("d").alias("d"))
 
 
+def _fit_summary(spark, d, metric):
+    """Sizes and cost per cluster of the best of three trials."""
+    got = kmeans.fit_predict(vectors_of(spark, d), metric=metric)
+    cost = r(F.sum(F.col("d") * F.col("d") if metric == "euclidean" else F.col("d")))
+    return got.groupBy("cluster", "n_iter", "converged").agg(F.count("*").alias("n"), cost.alias("cost"))
+
+
 @query
 def kmeans_fit(spark, d):
-    got = kmeans.fit_predict(kmeans.dense_features(vectors_of(spark, d)))
-    return got.groupBy("cluster").agg(F.count("*").alias("n"), F.first("cost").alias("cost"))
+    return _fit_summary(spark, d, "euclidean")
 
 
 @query
 def kmeans_fit_cosine(spark, d):
-    got = kmeans.fit_predict(kmeans.dense_features(vectors_of(spark, d)), metric="cosine")
-    return got.groupBy("cluster").agg(F.count("*").alias("n"), F.first("cost").alias("cost"))
+    return _fit_summary(spark, d, "cosine")
 
 
 @query
 def kmeans_documents(spark, d):
-    return jobs.kmeans_report(docs_of(spark, d))
+    got = jobs.kmeans_report(docs_of(spark, d))
+    return got.select(
+        "n_clusters", "n_iter", "converged", "cluster", "n", r("entropy").alias("entropy"), r("variance", 9).alias("variance"),
+        r("silhouette").alias("silhouette"),
+    )
 
 
 @query
 def kmeans_documents_assign(spark, d):
-    """Joined form: one mean update from the 25 lowest article ids, then assignment."""
+    """Joined form: converged from the 25 lowest article ids."""
     _, cells = jobs.scaled_features(docs_of(spark, d))
-    return kmeans.sparse_lloyd(cells, kmeans.CLUSTERS, max_iter=1)
+    found = kmeans.sparse_lloyd(cells, kmeans.CLUSTERS)
+    return found.assigned.withColumns({"n_iter": F.lit(found.n_iter), "converged": F.lit(found.converged)})
 
 
 def _labels_of(got):

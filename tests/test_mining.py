@@ -215,38 +215,94 @@ def test_lloyd_dense_and_joined_forms(spark):
     start = kmeans.initial_means(df, 5)
     assert np.allclose(start, x[:5])
     means, want = numpy_lloyd(x, start, 3)
-    got = kmeans.lloyd(df, start, max_iter=3)
-    assert np.allclose(got, means)
-    assert clusters(kmeans.assign(df, got)) == list(want)
-    cells = df.select(F.col("id").alias("doc_id"), F.posexplode("vec").alias("p", "value")).select(
+    got = kmeans.lloyd(df, start[None], max_iter=3)[0]
+    assert np.allclose(got.means, means) and (got.n_iter, got.converged) == (3, False)
+    assert clusters(kmeans.assign(df, got.means)) == list(want)
+    joined = kmeans.sparse_lloyd(cells_of(df), 5, max_iter=3)
+    assert clusters(joined.assigned.withColumnRenamed("doc_id", "id")) == list(want) and not joined.converged
+
+
+def cells_of(df):
+    return df.select(F.col("id").alias("doc_id"), F.posexplode("vec").alias("p", "value")).select(
         "doc_id", F.concat(F.lit("f"), "p").alias("feature"), "value"
     )
-    joined = kmeans.sparse_lloyd(cells, 5, max_iter=3).withColumnRenamed("doc_id", "id")
-    assert clusters(joined) == list(want)
+
+
+def plain_fit(x, means, metric):
+    """Rounds until the means rest, one after the other and over all rows."""
+    n = 0
+    while True:
+        at = np.array([matrix(np.vstack([v, means]), metric)[0, 1:].argmin() for v in x])
+        new = np.array([(m + x[at == c].sum(0)) / (1 + (at == c).sum()) for c, m in enumerate(means)])
+        moved = sum(matrix([a, b], metric)[0, 1] for a, b in zip(means, new))
+        means, n = new, n + 1
+        if moved < kmeans.CONVERGED:
+            return means, n
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "cosine"])
+def test_converges_as_plain_rounds(spark, metric):
+    rng = np.random.default_rng(2)
+    x = np.abs(rng.normal(size=(80, 5))) * (rng.random((80, 5)) < 0.7) + 0.01
+    x[60:] = x[0]  # copies
+    df = rows_of(spark, x).repartition(5)
+    starts = np.array([x[:6], x[10:16], x[54:60]])
+    fits = kmeans.lloyd(df, starts, metric)
+    packed, width = kmeans.packed_rows(cells_of(df))
+    sparse = kmeans.lloyd(packed.withColumnRenamed("doc_id", "id"), starts, metric)
+    assert width == 5
+    for start, dense, other in zip(starts, fits, sparse):
+        means, n = plain_fit(x, start, metric)
+        assert dense.converged and (dense.n_iter, other.n_iter) == (n, n)
+        assert np.allclose(dense.means, means, atol=1e-9) and np.allclose(other.means, means, atol=1e-9)
+
+
+def test_passes_are_left_out_when_no_row_can_change(spark, monkeypatch):
+    calls = []
+    real = kmeans._changes
+    monkeypatch.setattr(kmeans, "_changes", lambda *a: calls.append(1) or real(*a))
+    df = rows_of(spark, [[0.0], [0.2], [10.0], [10.2]])
+    got = kmeans.lloyd(df, np.array([[[0.0], [10.0]]]))[0]
+    assert got.converged and got.n_iter > 10 and len(calls) < 4
+    assert np.allclose(got.means, [[0.1], [10.1]], atol=1e-5)
 
 
 def test_empty_cluster_keeps_its_mean(spark):
     df = rows_of(spark, [[1.0], [2.0]])
-    start = np.array([[1.5], [100.0]])
-    moved = kmeans.update_means(kmeans.assign(df, start), start)
-    assert moved[1][0] == 100.0 and moved[0][0] == pytest.approx((1.5 + 3.0) / 3)
+    got = kmeans.lloyd(df, np.array([[[1.5], [100.0]]]), max_iter=1)[0]
+    assert got.means[1][0] == 100.0 and got.means[0][0] == pytest.approx((1.5 + 3.0) / 3)
+
+
+def test_choice_of_a_trial():
+    def made(*means):
+        return kmeans.Fit(np.array(means, float), 1, True)
+
+    near, same, far = made([9.0], [0.0]), made([0.1], [9.1]), made([4.0], [30.0])
+    got = kmeans.choose([far, near, same])
+    assert got.means.tolist() in ([[0.0], [9.0]], [[0.1], [9.1]]) and kmeans.choose([near]) is near
 
 
 @pytest.mark.parametrize("metric", ["euclidean", "cosine"])
 def test_kmeans_fit(spark, metric):
     x = np.concatenate([np.tile([[1.0, 0.0]], (10, 1)), np.tile([[0.0, 1.0]], (10, 1)), [[0.0, 0.0]]])
-    got = kmeans.fit_predict(kmeans.dense_features(rows_of(spark, x), 2), 2, metric=metric).orderBy("id").collect()
+    got = kmeans.fit_predict(rows_of(spark, x), 2, metric=metric).orderBy("id").collect()
     label = [r.cluster for r in got]
-    assert len(got) == 21 and len(set(label[:10])) == 1 and len(set(label[10:20])) == 1 and label[0] != label[10]
+    assert len(got) == 21 and len(set(label[:10])) == 1 and len(set(label[10:20])) == 1
+    assert all(r.converged for r in got)
+    with pytest.raises(ValueError):
+        kmeans.fit_predict(rows_of(spark, x).limit(0), 2)
 
 
-def test_documents_use_joined_form_beyond_limit(spark):
-    cells = spark.createDataFrame(
-        [(i, "a" if i < 5 else "b", 1.0 + i / 100) for i in range(10)], "doc_id bigint, feature string, value double"
-    )
-    for limit in (1_000_000, 1):
-        got = {r.id: r.cluster for r in kmeans.cluster_documents(cells, 2, limit=limit).collect()}
-        assert len(got) == 10
+@pytest.mark.parametrize("metric", ["euclidean", "cosine"])
+def test_documents_joined_form_is_the_same(spark, metric):
+    rng = np.random.default_rng(4)
+    x = np.abs(rng.normal(size=(24, 4))) + np.repeat(np.eye(4) * 5, 6, axis=0)
+    cells = cells_of(rows_of(spark, x))
+    got = [
+        {r.id: (r.cluster, r.n_iter, r.converged) for r in kmeans.cluster_documents(cells, 3, repeats=2, metric=metric, limit=limit, max_iter=6).collect()}
+        for limit in (1_000_000, 1)
+    ]
+    assert got[0] == got[1] and len(got[0]) == 24
     with pytest.raises(ValueError):
         kmeans._checked(np.zeros((2, kmeans.CENTROID_CELLS)))
 
