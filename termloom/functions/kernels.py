@@ -462,26 +462,54 @@ def dense_ints(table: pa.Table, name: str) -> np.ndarray:
 
 # Sketches.
 
+def permuted(hv: np.ndarray, a: np.ndarray, b: np.ndarray, prime: int, mask: int) -> np.ndarray:
+    """All permutations of all hashes (hashes x slots).
+
+    int64 products wrap around as in the original arithmetic. ``prime`` is 2^61 - 1, so the
+    high bits are added to the low ones instead of a division.
+    """
+    bits = prime.bit_length()
+    if prime != (1 << bits) - 1:
+        raise ValueError("the prime has to be one less than a power of two")
+    with np.errstate(over="ignore"):
+        v = hv[:, None] * a + b
+    low = v & prime
+    low += v >> bits
+    low += np.where(low < 0, prime, 0)
+    low -= np.where(low >= prime, prime, 0)
+    return low & mask
+
+
 def signature_batches(a: np.ndarray, b: np.ndarray, prime: int, mask: int):
     """Slot-wise minima of the permuted term hashes of each row.
 
-    int64 products wrap around as in the original arithmetic.
+    A batch's distinct terms are permuted once; rows take segmented minima over them, about
+    ``CHUNK`` terms at a time.
     """
 
     def run(batches):
         for batch in batches:
             table = pa.Table.from_batches([batch])
             flat, _, lengths = list_parts(table, "hashes")
-            hv = flat.to_numpy(zero_copy_only=False).astype(np.int64)
+            hv, at = np.unique(flat.to_numpy(zero_copy_only=False).astype(np.int64), return_inverse=True)
+            perm = np.empty((len(hv), len(a)), np.uint32)
+            for lo in range(0, len(hv), CHUNK):
+                perm[lo : lo + CHUNK] = permuted(hv[lo : lo + CHUNK], a, b, prime, mask)
             sig = np.full((table.num_rows, len(a)), mask, np.int64)
-            start = 0
-            for row, n in enumerate(lengths):
-                for lo in range(start, start + n, CHUNK):
-                    part = hv[lo:min(lo + CHUNK, start + n)]
-                    with np.errstate(over="ignore"):
-                        perm = np.bitwise_and((part[:, None] * a + b) % prime, mask)
-                    np.minimum(sig[row], perm.min(axis=0), out=sig[row])
-                start += n
+            rows = np.flatnonzero(lengths)
+            ends = np.cumsum(lengths[rows])
+            lo = 0
+            while lo < len(rows):
+                start = ends[lo] - lengths[rows[lo]]
+                hi = max(lo + 1, int(np.searchsorted(ends, start + CHUNK, "right")))
+                terms = at[start : ends[hi - 1]]
+                if hi == lo + 1:  # one row, of any length
+                    for x in range(0, len(terms), CHUNK):
+                        np.minimum(sig[rows[lo]], perm[terms[x : x + CHUNK]].min(axis=0), out=sig[rows[lo]])
+                else:
+                    first = ends[lo:hi] - lengths[rows[lo:hi]] - start
+                    sig[rows[lo:hi]] = np.minimum.reduceat(perm[terms], first, axis=0)
+                lo = hi
             offsets = pa.array(np.arange(table.num_rows + 1, dtype=np.int32) * len(a))
             lists = pa.ListArray.from_arrays(offsets, pa.array(sig.ravel()))
             yield pa.RecordBatch.from_arrays([batch.column("id"), lists], ["id", "sig"])

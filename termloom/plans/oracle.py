@@ -324,7 +324,10 @@ dcl AS (
 HASH32 = "CAST('0x' || substr(h, 7, 2) || substr(h, 5, 2) || substr(h, 3, 2) || substr(h, 1, 2) AS BIGINT)"
 
 
-def _signatures(ks: tuple[int, ...], seed: int = 1) -> str:
+MD5_HASH32 = "CAST('0x' || substr(h, 1, 8) AS BIGINT)"
+
+
+def _signatures(ks: tuple[int, ...], seed: int = 1, digest: str = "sha1", hash32: str = HASH32) -> str:
     """Relation sig (k, doc_id, slot, hv) for every document."""
     values = []
     for k in ks:
@@ -333,7 +336,7 @@ def _signatures(ks: tuple[int, ...], seed: int = 1) -> str:
     top, half = 1 << 64, 1 << 63
     return BAGS + f""",
 perm(k, slot, a, b) AS (VALUES {','.join(values)}),
-hashed AS (SELECT term, {HASH32} AS hv FROM (SELECT term, sha1(term) AS h FROM dfs)),
+hashed AS (SELECT term, {hash32} AS hv FROM (SELECT term, {digest}(term) AS h FROM dfs)),
 wrapped AS (
   SELECT k, slot, term, ((CAST(a AS HUGEINT) * hv + b + {half}) % {top}) - {half} AS w FROM hashed, perm),
 ph AS (SELECT k, slot, term, CAST((((w % {PRIME}) + {PRIME}) % {PRIME}) % {MAX_HASH + 1} AS BIGINT) AS hv FROM wrapped),
@@ -452,6 +455,7 @@ SELECT CAST(k AS INTEGER) AS k, CAST(n_docs * (n_docs - 1) // 2 AS BIGINT) AS n_
 FROM diff, n GROUP BY k, n_docs"""
     sig = _signatures((128,))
     sql["minhash_signature"] = f"WITH {sig} SELECT doc_id, slot, hv FROM sig"
+    sql["minhash_signature_md5"] = f"WITH {_signatures((128,), digest='md5', hash32=MD5_HASH32)} SELECT doc_id, slot, hv FROM sig"
     sql["minhash_merge"] = f"WITH {sig} SELECT lang AS label, slot, min(hv) AS hv FROM sig JOIN documents USING (doc_id) GROUP BY lang, slot"
     sql["minhash_union"] = f"""WITH {sig} SELECT source, count(*) AS n_inputs, slot, min(hv) AS hv
 FROM sig JOIN documents USING (doc_id) GROUP BY source, slot HAVING count(*) >= 2"""

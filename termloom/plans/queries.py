@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termloom.functions import text as X
-from termloom.functions.hashing import sha1_hash32
+from termloom.functions.hashing import md5_hash32, sha1_hash32
 from termloom.operators import classify, dbscan, distance, features, kmeans, minhash, quality, similarity, terms
 from termloom.plans import jobs
 from termloom.session import materialise, narrow, new_table_path, spread
@@ -301,6 +301,12 @@ def minhash_signature(spark, d):
     return minhash.slots(minhash.signatures(bags_of(spark, d)), "doc_id")
 
 
+@query
+def minhash_signature_md5(spark, d):
+    """The same sketch over another digest."""
+    return minhash.slots(minhash.signatures(bags_of(spark, d), hash_expr=md5_hash32), "doc_id")
+
+
 def _with_group(sigs, docs):
     return sigs.join(docs.select("doc_id", F.col("source").alias("grp")), "doc_id")
 
