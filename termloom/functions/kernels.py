@@ -407,28 +407,33 @@ def silhouette_kernel(metric: str):
 
 # Set similarity against sketches.
 
-def similarity_kernel(ks: tuple[int, ...]):
+def similarity_kernel(ks: tuple[int, ...], exact: bool = True):
     """Per row: partners with a shared term, their similarity sum and maximum, the
     same for each sketch size, and squared errors (each pair booked once, on the
-    left row)."""
+    left row). ``sig`` holds the slots of all sizes one after the other. Without ``exact``
+    only sketches are compared, rows have no terms and errors are zero."""
 
     def run(table: pa.Table) -> pa.Table:
         left, right, same = split_sides(table)
-        ids = column(table, "id")
-        _, _, sizes = list_parts(table, "idx")
-        inter = sparse_gram(table, left, right, vals=False)
-        union = sizes[left][:, None] + sizes[right][None, :] - inter
-        true = np.divide(inter, union, out=np.zeros_like(inter), where=union > 0)
-        pairs = np.triu(np.ones(true.shape, bool), 1) if same else np.ones(true.shape, bool)
-        self_pair = np.eye(len(left), dtype=bool) if same else np.zeros(true.shape, bool)
+        ids, shape = column(table, "id"), (len(left), len(right))
+        if exact:
+            _, _, sizes = list_parts(table, "idx")
+            inter = sparse_gram(table, left, right, vals=False)
+            union = sizes[left][:, None] + sizes[right][None, :] - inter
+            true = np.divide(inter, union, out=np.zeros_like(inter), where=union > 0)
+        pairs = np.triu(np.ones(shape, bool), 1) if same else np.ones(shape, bool)
+        self_pair = np.eye(len(left), dtype=bool) if same else np.zeros(shape, bool)
+        sig, start = dense_ints(table, "sig") if ks else None, 0
         out = []
-        for k in (0, *ks):
+        for k in ((0,) if exact else ()) + tuple(ks):
+            err = np.zeros(len(left))
             if k == 0:
-                value, err = true, np.zeros(len(left))
+                value = true
             else:
-                sig = dense_ints(table, f"sig{k}")
-                value = equal_slots(sig[left], sig[right]) / k
-                err = np.where(pairs, (value - true) ** 2, 0.0).sum(axis=1)
+                value = equal_slots(sig[left, start : start + k], sig[right, start : start + k]) / k
+                start += k
+                if exact:
+                    err = np.where(pairs, (value - true) ** 2, 0.0).sum(axis=1)
             value = np.where(self_pair, 0.0, value)
             views = [(ids[left], value, err)]
             if not same:
@@ -443,15 +448,29 @@ def similarity_kernel(ks: tuple[int, ...]):
 
 def equal_slots(a: np.ndarray, b: np.ndarray, rows: int = 64) -> np.ndarray:
     """Number of equal slots of each pair of sketches, a few left rows at a time so
-    that the counters stay in cache."""
-    a, b = a.astype(np.uint32), np.ascontiguousarray(b.T.astype(np.uint32))
-    hits = np.zeros((len(a), b.shape[1]), np.uint16 if len(b) < 1 << 16 else np.uint32)
+    that the counters stay in cache.
+
+    Slot values are replaced by their rank among the tile's values, which are few, and up to
+    255 slots are counted in single bytes: both let a register hold many pairs.
+    """
+    both = np.concatenate([a, b])
+    order = np.argsort(both, axis=0)
+    ordered = np.take_along_axis(both, order, axis=0)
+    rank = np.zeros(both.shape, np.uint16 if len(both) < 1 << 16 else np.uint32)
+    np.cumsum(ordered[1:] != ordered[:-1], axis=0, out=rank[1:], dtype=rank.dtype)
+    codes = np.empty_like(rank)
+    np.put_along_axis(codes, order, rank, axis=0)
+    x, y = codes[: len(a)], np.ascontiguousarray(codes[len(a):].T)
+    hits = np.zeros((len(a), len(b)), np.uint16 if len(y) < 1 << 16 else np.uint32)
     for lo in range(0, len(a), rows):
-        part, out = a[lo:lo + rows], hits[lo:lo + rows]
-        same = np.empty(out.shape, bool)
-        for s in range(len(b)):
-            np.equal(part[:, s, None], b[s], out=same)
-            np.add(out, same.view(np.uint8), out=out)
+        part = x[lo : lo + rows]
+        same, few = np.empty((len(part), len(b)), bool), np.empty((len(part), len(b)), np.uint8)
+        for first in range(0, len(y), 255):
+            few[:] = 0
+            for s in range(first, min(first + 255, len(y))):
+                np.equal(part[:, s, None], y[s], out=same)
+                np.add(few, same.view(np.uint8), out=few)
+            hits[lo : lo + rows] += few
     return hits
 
 
@@ -484,7 +503,7 @@ def signature_batches(a: np.ndarray, b: np.ndarray, prime: int, mask: int):
     """Slot-wise minima of the permuted term hashes of each row.
 
     A batch's distinct terms are permuted once; rows take segmented minima over them, about
-    ``CHUNK`` terms at a time.
+    ``CHUNK`` terms at a time. Columns beside ``hashes`` are passed on.
     """
 
     def run(batches):
@@ -512,7 +531,8 @@ def signature_batches(a: np.ndarray, b: np.ndarray, prime: int, mask: int):
                 lo = hi
             offsets = pa.array(np.arange(table.num_rows + 1, dtype=np.int32) * len(a))
             lists = pa.ListArray.from_arrays(offsets, pa.array(sig.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), lists], ["id", "sig"])
+            kept = [n for n in batch.schema.names if n != "hashes"]
+            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in kept], lists], [*kept, "sig"])
 
     return run
 
