@@ -204,9 +204,9 @@ class Cells:
         return out
 
 
-def near_parts(table: pa.Table, metric: str, eps: float):
-    """(left rows, right rows, same side, which pairs are within ``eps``) of a tile; a row is
-    never near itself.
+def near_parts(table: pa.Table, metric: str, eps: tuple[float, ...]):
+    """(left rows, right rows, same side, which pairs are within each ``eps``) of a tile; a row
+    is never near itself. Distances are taken once for all ``eps``.
 
     A range tile is one part; with a column ``light`` only pairs with a light row count. A
     tile of postings has a part per feature (``rank``), and a pair counts where its smallest
@@ -214,13 +214,13 @@ def near_parts(table: pa.Table, metric: str, eps: float):
     """
     if "rank" not in table.column_names:
         left, right, same = split_sides(table)
-        near = distances(table, left, right, metric) <= eps
+        d = distances(table, left, right, metric)
         if "light" in table.column_names:
             light = column(table, "light").astype(bool)
-            near &= light[left][:, None] | light[right][None, :]
+            d[~(light[left][:, None] | light[right][None, :])] = np.inf
         if same:
-            np.fill_diagonal(near, False)
-        yield left, right, same, near
+            np.fill_diagonal(d, np.inf)
+        yield left, right, same, [d <= e for e in eps]
         return
     names, _, lengths = list_parts(table, "idx")
     codes = names.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
@@ -234,24 +234,26 @@ def near_parts(table: pa.Table, metric: str, eps: float):
         left, right = (rows, rows) if same else (rows[is_left[rows]], rows[~is_left[rows]])
         if len(left) * len(right) < 1 + same:
             continue
-        near = from_gram(cells.gram(left, right), sq[left], sq[right], metric) <= eps
+        d = from_gram(cells.gram(left, right), sq[left], sq[right], metric)
         if same:
-            np.fill_diagonal(near, False)
-        if near.any():
-            near &= prefixes.gram(left, right, below=ranks[rows[0]]) == 0
-        yield left, right, same, near
+            np.fill_diagonal(d, np.inf)
+        if (d <= max(eps)).any():
+            d[prefixes.gram(left, right, below=ranks[rows[0]]) > 0] = np.inf
+            yield left, right, same, [d <= e for e in eps]
 
 
-def eps_count_kernel(metric: str, eps: float):
-    """(id, n): other rows within ``eps`` that a tile finds, for rows that have one."""
+def eps_count_kernel(metric: str, eps: tuple[float, ...]):
+    """(id, e, n): other rows within the e-th ``eps`` that a tile finds, for rows that have one."""
 
     def run(table: pa.Table) -> pa.Table:
-        n = np.zeros(table.num_rows, np.int64)
-        for left, right, same, near in near_parts(table, metric, eps):
-            n[left] += near.sum(axis=1)
-            if not same:
-                n[right] += near.sum(axis=0)
-        return pa.table({"id": column(table, "id")[n > 0], "n": n[n > 0]})
+        n = np.zeros((len(eps), table.num_rows), np.int64)
+        for left, right, same, nears in near_parts(table, metric, eps):
+            for e, near in enumerate(nears):
+                n[e, left] += near.sum(axis=1)
+                if not same:
+                    n[e, right] += near.sum(axis=0)
+        e, at = np.nonzero(n)
+        return pa.table({"id": column(table, "id")[at], "e": e.astype(np.int32), "n": n[e, at]})
 
     return run
 
@@ -308,35 +310,40 @@ def chain_edges(ids: np.ndarray, root: np.ndarray):
     return ids[a[linked]], ids[b[linked]]
 
 
-def eps_edges_kernel(metric: str, eps: float):
-    """Core-core links of a tile as a spanning forest, and border-core links.
+def eps_edges_kernel(metric: str, eps: tuple[float, ...], level: tuple[int, ...]):
+    """Core-core links of a tile as a spanning forest, and border-core links, for each pair of
+    parameters p: (p, u, v, core). ``level`` says which ``eps`` a pair has, column ``core`` holds
+    one flag per pair.
 
     A border row has fewer than min_samples neighbours, so its links are few.
     """
 
     def run(table: pa.Table) -> pa.Table:
-        ids, core = column(table, "id"), column(table, "core").astype(bool)
+        ids, flags = column(table, "id"), dense_flags(table, "core")
         none = np.zeros(0, np.int64)
-        u, v, kind = [none], [none], [np.zeros(0, bool)]
-        for left, right, same, near in near_parts(table, metric, eps):
-            cl, cr = core[left], core[right]
-            a, b = matrix_components(near[np.ix_(cl, cr)], same)
-            who = ids[left[cl]] if same else np.concatenate([ids[left[cl]], ids[right[cr]]])
-            found = [chain_edges(who, a if same else np.concatenate([a, b]))]
-            i, j = np.nonzero(near & ~cl[:, None] & cr[None, :])
-            found.append((ids[left[i]], ids[right[j]]))
-            if not same:
-                i, j = np.nonzero(near & cl[:, None] & ~cr[None, :])
-                found.append((ids[right[j]], ids[left[i]]))
-            for k, (a, b) in enumerate(found):
-                u.append(a)
-                v.append(b)
-                kind.append(np.full(len(a), k == 0))
-        return pa.table({"u": np.concatenate(u), "v": np.concatenate(v), "core": np.concatenate(kind)})
+        out = [(np.zeros(0, np.int32), none, none, np.zeros(0, bool))]
+        for left, right, same, nears in near_parts(table, metric, eps):
+            for p, e in enumerate(level):
+                near, cl, cr = nears[e], flags[left, p], flags[right, p]
+                a, b = matrix_components(near[np.ix_(cl, cr)], same)
+                who = ids[left[cl]] if same else np.concatenate([ids[left[cl]], ids[right[cr]]])
+                found = [chain_edges(who, a if same else np.concatenate([a, b]))]
+                i, j = np.nonzero(near & ~cl[:, None] & cr[None, :])
+                found.append((ids[left[i]], ids[right[j]]))
+                if not same:
+                    i, j = np.nonzero(near & cl[:, None] & ~cr[None, :])
+                    found.append((ids[right[j]], ids[left[i]]))
+                out += [(np.full(len(u), p, np.int32), u, v, np.full(len(u), k == 0)) for k, (u, v) in enumerate(found)]
+        return pa.table(dict(zip(["p", "u", "v", "core"], (np.concatenate(c) for c in zip(*out)))))
 
     return run
 
 
+def dense_flags(table: pa.Table, name: str) -> np.ndarray:
+    arr = table.column(name).combine_chunks()
+    return arr.flatten().to_numpy(zero_copy_only=False).astype(bool).reshape(len(arr), -1)
+
+
 def components_kernel(table: pa.Table) -> pa.Table:
     """Components of an edge list whose size the caller has checked."""
     u, v = column(table, "u"), column(table, "v")

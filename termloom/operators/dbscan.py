@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from termloom.functions import kernels as K
 from termloom.operators.distance import count_neighbors, eps_passes
 from termloom.operators.tiles import BLOCK_ROWS
-from termloom.session import hot_split_join, materialise, with_row_index
+from termloom.session import hot_split_join, materialise, narrow, with_row_index
 
 NOISE = -1
 # Links that one task may finish on its own, once they are known to be this few.
@@ -100,12 +100,39 @@ def dbscan(
 
     A border row goes to the lowest-numbered cluster it touches.
     """
-    items, passes = eps_passes(items, eps, metric, block_rows)
-    counts = materialise(count_neighbors(items, passes, eps, min_samples, metric), "counts")
-    core_flags = counts.select("id", F.col("is_core").alias("core"))
-    found = [p.run(K.eps_edges_kernel(metric, eps), "u bigint, v bigint, core boolean", core_flags) for p in passes]
+    return sweep(items, [(eps, min_samples)], metric, block_rows, local_edges)[0]
+
+
+def sweep(
+    items: DataFrame,
+    params: list[tuple[float, int]],
+    metric: str = "euclidean",
+    block_rows: int = BLOCK_ROWS,
+    local_edges: int = LOCAL_EDGES,
+) -> list[DataFrame]:
+    """One ``dbscan`` result for each (eps, min_samples) of ``params``.
+
+    Rows are placed once, for the largest eps, and each of the two passes takes distances once
+    for all parameters: the first counts neighbours within every eps, the second returns the
+    links of every pair.
+    """
+    eps = tuple(sorted({e for e, _ in params}))
+    level = tuple(eps.index(e) for e, _ in params)
+    items, passes = eps_passes(items, eps[-1], metric, block_rows)
+    counted = count_neighbors(items, passes, eps, metric)
+    cores = F.array(*[F.get("n", F.lit(e)) >= m for e, (_, m) in zip(level, params)])
+    counts = materialise(counted.select("id", cores.alias("core")), "counts")
+    found = [p.run(K.eps_edges_kernel(metric, eps, level), "p int, u bigint, v bigint, core boolean", counts) for p in passes]
     links = materialise(reduce(DataFrame.unionByName, found), "links")
+    return [
+        _clusters(
+            counts.select("id", F.get("core", F.lit(p)).alias("is_core")), narrow(links, "u", "v", "core", where=F.col("p") == p), local_edges
+        )
+        for p in range(len(params))
+    ]
+
 
+def _clusters(counts: DataFrame, links: DataFrame, local_edges: int) -> DataFrame:
     linked = connected_components(links.where("core"), local_edges)
     core = counts.where("is_core").select(F.col("id").alias("node"))
     roots = materialise(

@@ -83,10 +83,10 @@ def dbscan_report(
     rows, cells = scaled_features(docs)
     width = cells.agg(F.countDistinct("feature")).first()[0]
     items = narrow(rows, "id", "idx", "val")
+    params = [(e, m) for e in eps for m in min_samples]
     return _union([
-        _report(rows, dbscan.dbscan(items, e, m, metric), width)
-        .withColumn("eps", F.lit(e)).withColumn("min_samples", F.lit(m))
-        for e in eps for m in min_samples
+        _report(rows, found, width).withColumn("eps", F.lit(e)).withColumn("min_samples", F.lit(m))
+        for (e, m), found in zip(params, dbscan.sweep(items, params, metric))
     ])
 
 

@@ -149,11 +149,11 @@ final AS (SELECT c AS cluster, m FROM ll WHERE it = (SELECT max(it) FROM ll)),
 cl AS (SELECT asg.vec_id, asg.cluster, vec.label, vec.x FROM asg JOIN vec USING (vec_id))"""
 
 
-def _fit(metric: str) -> str:
+def _fit(metric: str, k: int = 25) -> str:
     """Three trials, starting in the order of a digest; the one nearest to the others."""
-    start = """SELECT * FROM (
+    start = f"""SELECT * FROM (
     SELECT t AS trial, x, CAST(row_number() OVER (PARTITION BY t ORDER BY md5(t || ':' || vec_id), vec_id) - 1 AS INTEGER) AS c
-    FROM vec, (SELECT unnest([1, 2, 3]) AS t)) WHERE c < 25"""
+    FROM vec, (SELECT unnest([1, 2, 3]) AS t)) WHERE c < {k}"""
     cost = "sum(d * d)" if metric == "euclidean" else "sum(d)"
     return f"""WITH RECURSIVE {VEC},
 {_lloyd(start, metric)},
@@ -473,6 +473,12 @@ SELECT doc_id, c AS cluster, CAST((SELECT max(it) FROM lasts) AS INTEGER) AS n_i
 ended AS (SELECT max(it) AS it, max(moved) AS moved FROM lasts WHERE trial = (SELECT trial FROM pick))
 SELECT 25 AS n_clusters, CAST((SELECT it FROM ended) AS INTEGER) AS n_iter, (SELECT moved FROM ended) < 1e-6 AS converged,
        {DOCREPORT_COLUMNS}"""
+    sql["kmeans_sweep"] = " UNION ALL ".join(
+        f"SELECT {k} AS n_clusters, cluster, n_iter, n, cost FROM ({_fit('euclidean', k)})" for k in (10, 25))
+    sql["dbscan_sweep"] = " UNION ALL ".join(
+        f"""SELECT CAST({e} AS DOUBLE) AS eps, {m} AS min_samples, * FROM (
+WITH RECURSIVE {_dbscan(_pairs('euclidean'), vec_ids, e, m)} SELECT id AS vec_id, cluster, is_core FROM db)"""
+        for e in (0.38, 0.42) for m in (3, 5))
     sql["kmeans_fit"] = _fit("euclidean")
     sql["kmeans_fit_cosine"] = _fit("cosine")
     sql["cluster_sizes"] = f"WITH RECURSIVE {KM} SELECT cluster, count(*) AS n FROM cl GROUP BY cluster"

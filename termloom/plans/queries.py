@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -415,6 +416,27 @@ def dbscan_documents(spark, d):
     return got.select(F.col("id").alias("doc_id"), "cluster", F.col("is_core").cast("int").alias("is_core"))
 
 
+SWEEP = [(0.38, 3), (0.38, 5), (0.42, 3), (0.42, 5)]
+
+
+@query
+def dbscan_sweep(spark, d):
+    """Two values of each parameter over one placement and two passes."""
+    found = dbscan.sweep(narrow(vectors_of(spark, d), "id", "vec"), SWEEP)
+    parts = [_labels_of(got).select(F.lit(e).alias("eps"), F.lit(m).alias("min_samples"), "*") for (e, m), got in zip(SWEEP, found)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def kmeans_sweep(spark, d):
+    rows = vectors_of(spark, d)
+    parts = []
+    for n in (10, 25):
+        got = kmeans.fit_predict(rows, n)
+        parts.append(got.groupBy(F.lit(n).alias("n_clusters"), "cluster", "n_iter").agg(F.count("*").alias("n"), r(F.sum(F.col("d") * F.col("d"))).alias("cost")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def eps_neighbors_documents(spark, d):
     rows, _ = jobs.scaled_features(docs_of(spark, d))
