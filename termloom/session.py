@@ -101,6 +101,14 @@ def hot_split_join(
     return by_broadcast.unionByName(by_shuffle)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or the name with underscores, so that no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def with_row_index(df: DataFrame, *order: str, name: str = "row_index") -> tuple[DataFrame, int]:
     """Number rows 0..n-1 in a global order without a one-task window; also returns n.
 
@@ -110,15 +118,16 @@ def with_row_index(df: DataFrame, *order: str, name: str = "row_index") -> tuple
     """
     spark = df.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    part, start = free_name(df, "_part"), free_name(df, "_start")
     ranged = materialise(
-        df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()), "ranged"
+        df.repartitionByRange(parts, *order).withColumn(part, F.spark_partition_id()), "ranged"
     )
-    sizes = ranged.groupBy("_part").agg(F.count("*").alias("n")).orderBy("_part").collect()
+    sizes = ranged.groupBy(part).agg(F.count("*").alias("n")).orderBy(part).collect()
     starts, seen = [], 0
     for row in sizes:
-        starts.append((row["_part"], seen))
+        starts.append((row[part], seen))
         seen += row["n"]
-    offsets = F.broadcast(spark.createDataFrame(starts, "_part int, _start bigint"))
-    in_part = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
-    numbered = ranged.join(offsets, "_part").withColumn(name, F.col("_start") + in_part - 1)
-    return numbered.drop("_part", "_start"), seen
+    offsets = F.broadcast(spark.createDataFrame(starts, f"{part} int, {start} bigint"))
+    in_part = F.row_number().over(Window.partitionBy(part).orderBy(*order))
+    numbered = ranged.join(offsets, part).withColumn(name, F.col(start) + in_part - 1)
+    return numbered.drop(part, start), seen
