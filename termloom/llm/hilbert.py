@@ -16,27 +16,51 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termloom.session import with_row_index
+from termloom.session import free_name, with_row_index
 
 BITS = 5
 SHARDS = 40
 ACCURACY = 10_000
 
 
-def as_number(column: Column, kind: str) -> Column:
-    """A dimension as a number: numbers as they are, others by a hash. Null is lowest."""
-    numeric = kind in ("tinyint", "smallint", "int", "bigint", "float", "double") or kind.startswith("decimal")
-    value = column.cast("double") if numeric else F.xxhash64(column.cast("string")).cast("double")
+def is_numeric(kind: str) -> bool:
+    return kind in ("tinyint", "smallint", "int", "bigint", "float", "double") or kind.startswith("decimal")
+
+
+def shared_prefixes(df: DataFrame, dimensions: list[str]) -> dict[str, int]:
+    """Bytes that all values of a string dimension begin with: those of the least and the
+    greatest value."""
+    texts = [d for d in dimensions if not is_numeric(dict(df.dtypes)[d])]
+    if not texts:
+        return {}
+    ends = [f(F.col(f"`{d}`").cast("string")) for d in texts for f in (F.min, F.max)]
+    row = df.agg(*[e.alias(f"e{i}") for i, e in enumerate(ends)]).first()
+    same = {}
+    for i, d in enumerate(texts):
+        lo, hi = ((v or "").encode() for v in row[2 * i : 2 * i + 2])
+        same[d] = next((n for n, (x, y) in enumerate(zip(lo, hi)) if x != y), min(len(lo), len(hi)))
+    return same
+
+
+def as_number(column: Column, kind: str, skip: int = 0) -> Column:
+    """A dimension as a number that keeps its order, as files are skipped by the least and
+    greatest value they hold: numbers as they are, strings by six bytes after the ``skip`` ones
+    that all share. Null is lowest."""
+    if is_numeric(kind):
+        value = column.cast("double")
+    else:
+        six = F.substring(F.encode(column.cast("string"), "UTF-8"), skip + 1, F.lit(6))
+        value = F.conv(F.rpad(F.hex(six), 12, "0"), 16, 10).cast("double")
     return F.when(column.isNull() | F.isnan(value), F.lit(float("-inf"))).otherwise(value)
 
 
-def boundaries(df: DataFrame, dimensions: list[str], bits: int = BITS) -> dict[str, list[float]]:
+def boundaries(df: DataFrame, dimensions: list[str], bits: int = BITS, skip: dict[str, int] | None = None) -> dict[str, list[float]]:
     """Distinct inner quantiles of each dimension over all rows; at most 2^bits - 1 values."""
-    kinds = dict(df.dtypes)
+    kinds, skip = dict(df.dtypes), skip or {}
     shares = [i / (1 << bits) for i in range(1, 1 << bits)]
-    asked = [F.percentile_approx(as_number(F.col(d), kinds[d]), shares, ACCURACY).alias(d) for d in dimensions]
+    asked = [F.percentile_approx(as_number(F.col(f"`{d}`"), kinds[d], skip.get(d, 0)), shares, ACCURACY).alias(f"q{i}") for i, d in enumerate(dimensions)]
     row = df.agg(*asked).first()
-    return {d: sorted(set(row[d] or [])) for d in dimensions}
+    return {d: sorted(set(row[i] or [])) for i, d in enumerate(dimensions)}
 
 
 def cell(value: Column, bounds: list[float]) -> Column:
@@ -79,13 +103,14 @@ def with_curve(df: DataFrame, dimensions: list[str], bits: int = BITS, name: str
     """Add the place on the curve; ``bits`` times the number of dimensions is at most 62."""
     if not 0 < bits * len(dimensions) <= 62:
         raise ValueError("the curve index has to fit 62 bits")
-    kinds, bounds = dict(df.dtypes), boundaries(df, dimensions, bits)
+    kinds, skip = dict(df.dtypes), shared_prefixes(df, dimensions)
+    bounds = boundaries(df, dimensions, bits, skip)
 
     @F.pandas_udf("bigint")
     def place(*cells: pd.Series) -> pd.Series:
         return pd.Series(curve_index(np.stack([c.to_numpy() for c in cells]), bits))
 
-    return df.withColumn(name, place(*[cell(as_number(F.col(d), kinds[d]), bounds[d]) for d in dimensions]))
+    return df.withColumn(name, place(*[cell(as_number(F.col(f"`{d}`"), kinds[d], skip.get(d, 0)), bounds[d]) for d in dimensions]))
 
 
 def shard(df: DataFrame, dimensions: list[str], order: list[str], shards: int = SHARDS, bits: int = BITS) -> DataFrame:
@@ -97,11 +122,12 @@ def shard(df: DataFrame, dimensions: list[str], order: list[str], shards: int =
     slot are replaced. ``df`` is stored once in sorted form: pass narrow rows.
     """
     placed = with_curve(df.drop("curve", "shard", "slot"), dimensions, bits)
-    numbered, n = with_row_index(placed, "curve", *order, name="_row")
-    at = F.expr(f"cast(_row as decimal(30,0)) * {shards} div {max(n, 1)}").cast("int")
+    row = free_name(placed, "_row")
+    numbered, n = with_row_index(placed, "curve", *order, name=row)
+    at = F.expr(f"cast({row} as decimal(30,0)) * {shards} div {max(n, 1)}").cast("int")
     out = numbered.withColumn("shard", at)
     first = F.expr(f"(cast(shard as decimal(30,0)) * {n} + {shards - 1}) div {shards}").cast("bigint")
-    return out.withColumn("slot", F.col("_row") - first).drop("_row")
+    return out.withColumn("slot", F.col(row) - first).drop(row)
 
 
 def documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shards: int = SHARDS) -> DataFrame:

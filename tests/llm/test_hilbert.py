@@ -44,3 +44,28 @@ def test_written_shards(spark, tmp_path):
     spans = hilbert.ranges(back, ["a", "b"]).collect()
     assert {r.rows for r in spans} == {50}
     assert sum((r.max_a - r.min_a) / 20 * (r.max_b - r.min_b) / 100 for r in spans) < 3.5  # 10 without an order
+
+
+def test_filters_skip_shards(spark):
+    """Shards that a filter on one value must read, by least and greatest value."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    placed = hilbert.documents(docs).select("doc_id", "shard").join(docs.select("doc_id", "source", "lang", "n_chars"), "doc_id")
+    spans = hilbert.ranges(placed, ["source", "lang", "n_chars"]).collect()
+    sources = sorted({r.source for r in placed.select("source").distinct().collect()})
+    read = [sum(s.min_source <= v <= s.max_source for s in spans) for v in sources]
+    assert len(spans) == 40 and sum(read) / len(read) <= 15
+    width = max(s.max_n_chars for s in spans)
+    assert sum(s.min_n_chars <= width // 2 <= s.max_n_chars for s in spans) <= 20
+
+
+def test_order_of_strings_and_names(spark):
+    rows = [(i, None if i == 3 else f"http://host/{i % 7}/é", i, 2, 3) for i in range(70)]
+    df = spark.createDataFrame(rows, "id long, `a.b` string, _start int, _row int, _part int")
+    numbers = df.select("id", hilbert.as_number(df["`a.b`"], "string", 12).alias("x"), df["`a.b`"].alias("s")).collect()
+    by_number = [r.s or "" for r in sorted(numbers, key=lambda r: (r.x, r.s or ""))]
+    assert by_number == sorted(by_number) and hilbert.shared_prefixes(df, ["a.b", "id"]) == {"a.b": 12}
+    got = hilbert.shard(df, ["a.b", "id"], ["id"], shards=7)
+    assert got.count() == 70 and set(df.columns) < set(got.columns)
+    same = df.selectExpr("1 as id", "'x' as s").union(df.selectExpr("1 as id", "'x' as s"))  # ties and repeated rows
+    counts = {r.shard: r["count"] for r in hilbert.shard(same, ["s"], ["id"], shards=8).groupBy("shard").count().collect()}
+    assert sorted(counts.values()) == [17] * 4 + [18] * 4
