@@ -2,14 +2,18 @@
 
 A batch is a set of signed counts: inserts add, deletes subtract, a revised count subtracts
 the old and adds the new. It is added up by source, language and tokenizer version and
-written as one folder of the ledger, named after the batch. Spark's success mark in it is
-the commit: a batch that has it is never written again, so sending a batch twice changes
-nothing; a batch that failed half-way has no mark, counts for nothing and is written anew.
-Totals are the sums over committed batches, in whatever order they came.
+written to a folder of its own; then a commit file named after the batch, with that folder and
+a digest of the rows, is put in place by one rename that fails where the file is there. So a
+batch counts from that moment and only once: sending it again changes nothing, two writers
+of one batch cannot both win, one that failed half-way counts for nothing, and a name sent
+again with other rows is an error. Totals are the sums over committed batches, in whatever
+order they came.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Iterator
 from urllib.parse import quote
 
@@ -21,7 +25,7 @@ from termloom.llm.tokens import encoder, tokenizer_path
 
 KEYS = ("source", "lang", "tokenizer")
 DELTAS = "source string, lang string, tokenizer string, docs bigint, tokens bigint"
-MARK = "_SUCCESS"
+ENTRY = "batch string, folder string, digest string"
 
 
 def token_count(text: Column, tokenizer: str | None = None) -> Column:
@@ -67,35 +71,70 @@ class Ledger:
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark, self.path = spark, path.rstrip("/")
 
-    def _folder(self, batch: str) -> str:
-        return f"{self.path}/batch={quote(batch, safe='')}"
-
     def _files(self):
         hadoop = self.spark._jvm.org.apache.hadoop.fs
         root = hadoop.Path(self.path)
-        return hadoop, root, root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return hadoop, root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _commit_file(self, batch: str) -> str:
+        return f"{self.path}/commits/{quote(batch, safe='')}.json"
 
     def committed(self, batch: str) -> bool:
-        hadoop, _, files = self._files()
-        return files.exists(hadoop.Path(f"{self._folder(batch)}/{MARK}"))
+        hadoop, files = self._files()
+        return files.exists(hadoop.Path(self._commit_file(batch)))
+
+    def _publish(self, batch: str, entry: dict[str, str]) -> bool:
+        """Put the commit file in place; False when it is there. A name that begins with a dot is
+        not read by anybody."""
+        hadoop, files = self._files()
+        temporary = hadoop.Path(f"{self.path}/commits/.{uuid.uuid4().hex}")
+        out = files.create(temporary, False)
+        out.write(bytearray(json.dumps(entry).encode()))
+        out.close()
+        context = hadoop.FileContext.getFileContext(temporary.toUri(), self.spark._jsc.hadoopConfiguration())
+        plain = self.spark._sc._gateway.new_array(self.spark._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+        if self.committed(batch):
+            return False
+        try:
+            context.rename(temporary, hadoop.Path(self._commit_file(batch)), plain)
+        except Exception:
+            if self.committed(batch):
+                return False
+            raise
+        return True
+
+    @staticmethod
+    def _digest(rows: DataFrame) -> str:
+        """Equal for equal sets of summed rows, in whatever order."""
+        hashes = F.xxhash64(*[F.coalesce(F.concat(F.lit("="), F.col(k)), F.lit("")) for k in KEYS], "docs", "tokens")
+        n, total = rows.agg(F.count("*"), F.coalesce(F.sum(hashes.cast("decimal(38,0)")), F.lit(0))).first()
+        return f"{n}:{total}"
 
     def commit(self, batch: str, deltas: DataFrame) -> bool:
-        """Add a batch; False when it was committed before. An empty batch is one too."""
+        """Add a batch; False when it was committed before with the same rows, an error when
+        with others. An empty batch is one too."""
         if not batch:
             raise ValueError("a batch needs a name")
-        if self.committed(batch):
-            return False
         added = deltas.groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
-        added.write.mode("overwrite").parquet(self._folder(batch))
-        return True
+        if self.committed(batch):
+            own = self._digest(added)
+        else:
+            folder = uuid.uuid4().hex
+            added.write.parquet(f"{self.path}/data/{folder}")
+            own = self._digest(self.spark.read.schema(DELTAS).parquet(f"{self.path}/data/{folder}"))
+            if self._publish(batch, {"batch": batch, "folder": folder, "digest": own}):
+                return True
+        known = self.spark.read.schema(ENTRY).json(self._commit_file(batch)).first()
+        if known["digest"] != own:
+            raise ValueError(f"batch {batch!r} was committed with other rows")
+        return False
 
     def folders(self) -> list[str]:
-        """Folders of committed batches; one name per batch comes to the driver."""
-        hadoop, root, files = self._files()
-        if not files.exists(root):
+        """Folders of committed batches; one name per batch comes to the driver, read by tasks."""
+        hadoop, files = self._files()
+        if not files.exists(hadoop.Path(f"{self.path}/commits")):
             return []
-        names = [s.getPath().toString() for s in files.listStatus(root) if s.isDirectory()]
-        return [n for n in names if files.exists(hadoop.Path(f"{n}/{MARK}"))]
+        return [f"{self.path}/data/{r['folder']}" for r in self.spark.read.schema(ENTRY).json(f"{self.path}/commits").collect()]
 
     def totals(self) -> DataFrame:
         """(source, lang, tokenizer, docs, tokens); keys that came to nothing are left out.

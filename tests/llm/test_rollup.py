@@ -2,6 +2,7 @@
 
 from collections import Counter
 
+import pytest
 from tokenizers import Tokenizer
 
 from termloom.llm import rollup, tokens
@@ -21,13 +22,38 @@ def test_ledger(spark, tmp_path):
         assert ledger.commit("none", rollup.inserts(docs.limit(0), "v1", "n")) == (turn == 0)
     got = {(r.source, r.lang, r.tokenizer): (r.docs, r.tokens) for r in ledger.totals().collect()}
     assert got == {("a", None, "v1"): (1, 0), (None, "de", "v1"): (1, 0), ("a", "en", "v2"): (1, 20)}
-    # a batch that did not come to its mark counts for nothing and can be sent again
-    (tmp_path / "ledger/batch=1/_SUCCESS").unlink()
+    # a batch that did not come to its commit file counts for nothing and can be sent again
+    for name in ("1.json", ".1.json.crc"):
+        (tmp_path / "ledger/commits" / name).unlink()
     assert ("a", None, "v1") not in {(r.source, r.lang, r.tokenizer) for r in ledger.totals().collect()}
     assert ledger.commit("1", rollup.inserts(docs, "v1", "n"))
     assert got == {(r.source, r.lang, r.tokenizer): (r.docs, r.tokens) for r in ledger.totals().collect()}
 
 
+def test_commits_stand_without_success_marks(spark, tmp_path):
+    docs = spark.createDataFrame([("a", "en", 2), ("b", None, 3)], "source string, lang string, n long")
+    key = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set(key, "false")
+    try:
+        ledger = rollup.Ledger(spark, str(tmp_path / "ledger"))
+        assert [ledger.commit("x", rollup.inserts(docs, "v1", "n")) for _ in range(2)] == [True, False]
+        assert sorted(r.tokens for r in ledger.totals().collect()) == [2, 3]
+    finally:
+        conf.unset(key)
+
+
+def test_a_name_with_other_rows_is_refused(spark, tmp_path):
+    docs = spark.createDataFrame([("a", "en", 2), ("b", None, 3)], "source string, lang string, n long")
+    one, two = (rollup.Ledger(spark, str(tmp_path / "ledger")) for _ in range(2))
+    assert one.commit("x", rollup.inserts(docs, "v1", "n"))
+    with pytest.raises(ValueError, match="other rows"):
+        two.commit("x", rollup.inserts(docs.limit(1), "v1", "n"))
+    assert not two._publish("x", {"batch": "x", "folder": "none", "digest": "0:0"})  # the slower of two writers
+    assert not two.commit("x", rollup.inserts(docs.orderBy("n", ascending=False), "v1", "n"))
+    assert sorted(r.tokens for r in two.totals().collect()) == [2, 3]
+
+
 def test_query_against_a_recount(spark):
     from termloom.llm.queries import op6_token_rollup
 
