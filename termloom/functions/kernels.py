@@ -23,7 +23,7 @@ def column(table: pa.Table, name: str) -> np.ndarray:
     return table.column(name).combine_chunks().to_numpy(zero_copy_only=False)
 
 
-ARROW_TYPES = {"bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_()}
+ARROW_TYPES = {"bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string()}
 
 
 def guarded(kernel, schema: str):
@@ -362,9 +362,10 @@ def knn_kernel(metric: str, k: int):
         d = distances(table, left, right, metric)
         best = np.argsort(d, axis=1, kind="stable")[:, :k]
         q = np.repeat(ids[left], best.shape[1])
-        return pa.table({
-            "q": q, "id": ids[right][best.ravel()], "d": np.take_along_axis(d, best, axis=1).ravel(),
-        })
+        found = {"q": q, "id": ids[right][best.ravel()], "d": np.take_along_axis(d, best, axis=1).ravel()}
+        if "label" in table.column_names:
+            found["label"] = table.column("label").combine_chunks().take(pa.array(right[best.ravel()]))
+        return pa.table(found)
 
     return run
 
