@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termloom.operators import classify, dbscan, features, kmeans, quality, similarity, terms
+from termloom.operators import classify, dbscan, features, kmeans, quality, similarity, terms, tree
 from termloom.session import materialise, narrow
 from termloom.sources import corpus, sinks
 
@@ -108,10 +108,9 @@ def knn_accuracy(
 def dtree_accuracy(docs: DataFrame, drop_last: bool = False) -> DataFrame:
     """One row with split sizes, tree size and accuracy of topic prediction."""
     rows, cells = scaled_features(docs)
-    vectors, _ = features.sparse_vectors(cells)
-    labelled = vectors.withColumnRenamed("doc_id", "id").join(rows.select("id", "label"), "id")
-    train, test = _halves(labelled, "id", drop_last)
-    return classify.dtree_classify(train, test, max_bins=32)
+    packed, _ = features.packed_rows(cells)
+    labelled = packed.withColumnRenamed("doc_id", "id").join(rows.select("id", "label"), "id")
+    return tree.report(*_halves(labelled, "id", drop_last))
 
 
 def similarity_study(docs: DataFrame, ks: Sequence[int] = similarity.STUDY_SLOTS) -> DataFrame:

@@ -256,6 +256,61 @@ SELECT CAST(k AS INTEGER) AS k, count(*) AS n_test, round(avg(CAST(predicted = l
 FROM pred JOIN test ON test.vec_id = pred.query_id GROUP BY k"""
 
 
+def _tree(rows: str, cells: str) -> str:
+    """Relation pred (id, label, predicted) of the test rows and relation grown (depth, node, id,
+    train) of a Gini tree, from ``rows`` (id, label, train) and nonzero ``cells`` (id, f, v).
+    A round splits every node whose training labels differ; rows that move make the next one."""
+    return f"""trows AS MATERIALIZED ({rows}),
+tcells AS MATERIALIZED ({cells}),
+grown(depth, node, id, label, train) AS (
+  SELECT 0, '', id, label, train FROM trows
+  UNION ALL (
+    WITH s AS (SELECT * FROM grown),
+    tot AS (SELECT node, label, count(*) AS t FROM s WHERE train GROUP BY ALL),
+    big AS (SELECT node, sum(t) AS n, sum(t * t) AS t2 FROM tot GROUP BY node HAVING count(*) > 1),
+    nz AS (SELECT node, f, v, label, count(*) AS c FROM s JOIN big USING (node) JOIN tcells USING (id) WHERE train GROUP BY ALL),
+    ev AS (
+      SELECT * FROM nz
+      UNION ALL
+      SELECT node, f, 0.0, label, t - coalesce(k, 0) FROM (SELECT DISTINCT node, f FROM nz) JOIN tot USING (node)
+      LEFT JOIN (SELECT node, f, label, sum(c) AS k FROM nz GROUP BY ALL) USING (node, f, label) WHERE t > coalesce(k, 0)),
+    cum AS (
+      SELECT node, f, v, c, t, sum(c) OVER (PARTITION BY node, f, label ORDER BY v) AS l FROM ev JOIN tot USING (node, label)),
+    step AS (
+      SELECT node, f, v, sum(c) AS n, sum(l * l - (l - c) * (l - c)) AS dl, sum((t - l) * (t - l) - (t - l + c) * (t - l + c)) AS dr
+      FROM cum GROUP BY ALL),
+    walk AS (
+      SELECT node, f, v, sum(n) OVER w AS nl, sum(dl) OVER w AS sl, sum(dr) OVER w AS sr, lead(v) OVER w AS nv
+      FROM step WINDOW w AS (PARTITION BY node, f ORDER BY v)),
+    best AS (
+      SELECT node, arg_min(f, o) AS f, arg_min((v + nv) / 2, o) AS th FROM (
+        SELECT node, f, v, nv, (-(CAST(sl AS DOUBLE) / nl + CAST(t2 + sr AS DOUBLE) / (n - nl)), f, v) AS o
+        FROM walk JOIN big USING (node) WHERE nv - v > 1e-9 * greatest(abs(v), abs(nv))) GROUP BY node)
+    SELECT depth + 1, s.node || CASE WHEN coalesce(v, 0) > th + 1e-12 * abs(th) THEN '1' ELSE '0' END, s.id, s.label, s.train
+    FROM s JOIN best USING (node) LEFT JOIN tcells ON tcells.id = s.id AND tcells.f = best.f)),
+ended AS (SELECT id, arg_max(node, depth) AS node, any_value(label) AS label, any_value(train) AS train FROM grown GROUP BY id),
+vote AS (
+  SELECT node, label AS predicted FROM (
+    SELECT node, label, row_number() OVER (PARTITION BY node ORDER BY count(*) DESC, label) AS o FROM ended WHERE train GROUP BY node, label)
+  WHERE o = 1),
+pred AS (SELECT id, label, predicted FROM ended JOIN vote USING (node) WHERE NOT train)"""
+
+
+VECTREE = VEC + ",\n" + _tree(
+    "SELECT vec_id AS id, CAST(label AS VARCHAR) AS label, row_number() OVER (ORDER BY vec_id) <= floor(count(*) OVER () * 0.6) AS train FROM vec",
+    "SELECT vec_id AS id, pos AS f, value AS v FROM nv WHERE value <> 0",
+)
+DOCTREE = SCALED + ",\n" + _tree(
+    "SELECT doc_id AS id, lang AS label, row_number() OVER (ORDER BY doc_id) <= floor(count(*) OVER () * 0.6) AS train FROM documents",
+    "SELECT doc_id AS id, dense_rank() OVER (ORDER BY feature) AS f, value AS v FROM scaled WHERE value <> 0",
+)
+TREE_REPORT = """
+SELECT (SELECT count(*) FROM trows WHERE train) AS n_train, (SELECT count(*) FROM trows WHERE NOT train) AS n_test,
+       (SELECT count(DISTINCT node) FROM grown WHERE train) AS n_nodes,
+       (SELECT CAST(max(depth) AS INTEGER) FROM grown WHERE train) AS depth,
+       round(avg(CAST(predicted = label AS INTEGER)), 6) + 0.0 AS accuracy FROM pred"""
+
+
 def _doc_lloyd(start: str) -> str:
     """Relation dl (trial, it, c, feature, m, moved), means in long form, over ``scaled``, from
     a relation (trial, c, doc_id); then asg (trial, doc_id, c) by the last means."""
@@ -517,5 +572,8 @@ FROM documents"""
     sql["knn_accuracy_cosine"] = _accuracy(_knn("cosine", 25))
     sql["knn_documents"] = _accuracy(DOCSPLIT)
     sql["tagged_knn"] = sql["knn_documents"]
+    sql["dtree_classify"] = f"WITH RECURSIVE {VECTREE}{TREE_REPORT}"
+    sql["dtree_predict"] = f"WITH RECURSIVE {VECTREE} SELECT id AS vec_id, predicted FROM pred"
+    sql["dtree_documents"] = f"WITH RECURSIVE {DOCTREE}{TREE_REPORT}"
     sql["tagged_similarity_study"] = sql["minhash_mse"]
     return sql

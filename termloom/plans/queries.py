@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from termloom.functions import text as X
 from termloom.functions.hashing import md5_hash32, sha1_hash32
-from termloom.operators import classify, dbscan, distance, features, kmeans, minhash, quality, similarity, terms
+from termloom.operators import classify, dbscan, distance, features, kmeans, minhash, quality, similarity, terms, tree
 from termloom.plans import jobs
 from termloom.session import materialise, narrow, new_table_path, spread
 from termloom.sources import corpus, html, sinks
@@ -557,13 +557,17 @@ def knn_documents(spark, d):
 
 @query
 def dtree_classify(spark, d):
-    from pyspark.ml.functions import array_to_vector
+    train, test = (tree.dense_cells(half) for half in _split_vectors(spark, d))
+    return tree.report(train, test).withColumn("accuracy", r("accuracy"))
 
-    train, test = _split_vectors(spark, d)
-    ready = lambda df: df.select("label", array_to_vector("vec").alias("features"))
-    return classify.dtree_classify(ready(train), ready(test))
+
+@query
+def dtree_predict(spark, d):
+    """The class that the tree gives each vector of the test part."""
+    train, test = (tree.dense_cells(half) for half in _split_vectors(spark, d))
+    return tree.predict(tree.grow(train), test).withColumnRenamed("id", "vec_id")
 
 
 @query
 def dtree_documents(spark, d):
-    return jobs.dtree_accuracy(docs_of(spark, d))
+    return jobs.dtree_accuracy(docs_of(spark, d)).withColumn("accuracy", r("accuracy"))
