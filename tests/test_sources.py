@@ -27,6 +27,20 @@ def test_tagged_records(spark, tmp_path):
     assert [(r.doc_id, r.label) for r in kept.collect()] == [(1, "cocoa")]
 
 
+def test_all_named_references(spark):
+    from html import unescape
+    from html.entities import html5
+
+    names = sorted(n for n in html5 if n.endswith(";"))
+    rows = spark.createDataFrame([(f"a&{n}b &amp;{n} &x{n}",) for n in names], "t string")
+    for t, d in rows.select("t", html.decode_entities(F.col("t"))).collect():
+        name = t[2:t.index(";") + 1]
+        kept = unescape(f"&x{name}") if f"x{name}" in html5 else f"&x{name}"
+        assert d == f"a{html5[name]}b &{name} {kept}", t
+    odd = spark.createDataFrame([("&frac12;&nbsp;&Eacute;&eacute;&amp &; &nosuch; &9a;",)], "t string")
+    assert odd.select(html.decode_entities(F.col("t"))).first()[0] == "\u00bd\u00a0\u00c9\u00e9&amp &; &nosuch; &9a;"
+
+
 def test_entities(spark):
     cases = {
         "a &amp;lt; b": "a &lt; b", "&#65;&#233;&#8364;": "Aé€", "&#2;x&#31;": "x", "&#xx; &#12": "&#xx; &#12",
