@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -70,9 +69,11 @@ def _word(word: str) -> tuple[int, int]:
     """Hash of the lower-case token and its flags."""
     bare = word.strip(PUNCTUATION) or word
     low = bare.lower()
-    if NUMBER.fullmatch(low) or low in NUMBER_WORDS:
+    # both patterns begin with a sign or a digit
+    digits = low[:1] in "+-" or low[:1].isdecimal()
+    if low in NUMBER_WORDS or digits and NUMBER.fullmatch(low):
         kind = NUM
-    elif MEASURE.fullmatch(low):
+    elif digits and MEASURE.fullmatch(low):
         kind = MEAS
     else:
         kind = UNIT if low in UNITS else ORDINARY
@@ -80,11 +81,27 @@ def _word(word: str) -> tuple[int, int]:
     return _hash(low), kind | (CAPITAL if bare[:1].isupper() else 0) | (STOP if stop else 0)
 
 
+class Words(dict):
+    """Place of each word in the arrays of hashes and flags, which grow by doubling."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.hashes, self.flags = np.empty(1024, np.uint64), np.empty(1024, np.int8)
+
+    def __missing__(self, word: str) -> int:
+        at = len(self)
+        if at == len(self.hashes):
+            self.hashes, self.flags = (np.concatenate([x, np.empty_like(x)]) for x in (self.hashes, self.flags))
+        self.hashes[at], self.flags[at] = _word(word)
+        self[word] = at
+        return at
+
+
 class Canonical:
     """Templates of texts, with a bounded cache of words."""
 
     def __init__(self) -> None:
-        self.word = lru_cache(KEPT_WORDS)(_word)
+        self.words = Words()
 
     def tokens(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Token hashes, and which tokens are slots."""
@@ -94,9 +111,11 @@ class Canonical:
         """Token hashes, which tokens are slots, and the hashes of the words as they stand."""
         if not words:
             return np.empty(0, np.uint64), np.empty(0, bool), np.empty(0, np.uint64)
-        hashes, flags = zip(*map(self.word, words), strict=True)
-        tokens, flags = np.array(hashes, dtype=np.uint64), np.array(flags, dtype=np.int8)
-        literal = tokens.copy()
+        if len(self.words) > KEPT_WORDS:
+            self.words = Words()
+        at = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+        literal, flags = self.words.hashes[at], self.words.flags[at]
+        tokens = literal.copy()
         kind = flags & 3
         starts = np.concatenate(([True], (flags[:-1] & STOP) > 0))
         follows_number = np.concatenate(([False], kind[:-1] == NUM))

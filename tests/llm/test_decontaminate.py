@@ -108,3 +108,18 @@ def test_clean_goes_by_rows(spark):
     left = D.clean(docs, spark.createDataFrame([(1, ITEM)], "item_id long, text string"))
     assert left.columns == docs.columns
     assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == sorted(rows[2:], key=str)
+
+
+def test_words_beyond_the_cache(monkeypatch):
+    """Hashes and flags stay those of the word when the arrays grow and when the cache starts anew."""
+    monkeypatch.setattr(D, "KEPT_WORDS", 1500)
+    canonical = D.Canonical()
+    for start in (0, 900, 2500):
+        words = [w for i in range(start, start + 2000) for w in (f"word{i}", "+5", "٣kg", "Rome.", "-x", "seven")]
+        tokens, slots, literal = canonical.template(words)
+        found = [D._word(w) for w in words]
+        assert literal.tolist() == [h for h, _ in found]
+        kinds = [f & 3 for _, f in found]
+        assert kinds[:6] == [D.ORDINARY, D.NUM, D.MEAS, D.ORDINARY, D.ORDINARY, D.NUM]
+        assert len(canonical.words) <= 1500 + 2005
+        assert slots.sum() >= 3 * 2000
