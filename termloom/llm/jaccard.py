@@ -32,15 +32,16 @@ from pyspark.sql import functions as F
 
 from termloom.llm.decontaminate import window_hashes
 from termloom.operators.dbscan import connected_components
-from termloom.session import materialise
+from termloom.session import materialise, may_match
 
 WORDS, PERCENT = 3, 90
 # Bytes of sets in one block, and in a task's share of small components.
 BLOCK_BYTES, SHARE_BYTES = 24 << 20, 6 << 20
 # Ties and links that one task may put together; more are contracted by joins first.
 LOCAL_EDGES = 200_000
-# Rows of three numbers that may be broadcast.
-BROADCAST_ROWS = 1_000_000
+# Rows of some numbers that may be broadcast. Beyond it documents are tested by a table of bits of
+# bounded size where they are read, and what passes is shuffled for a join.
+BROADCAST_ROWS = 50_000
 
 
 def shingles(text: str | None, words: int) -> np.ndarray:
@@ -107,7 +108,10 @@ def _ties(sets: DataFrame, percent: int) -> DataFrame:
         .where("low != high")
         .select("token", "df")
     )
-    own = postings.join(shared, "token").groupBy("class").agg(
+    shared = materialise(shared, "shared")
+    # most tokens have one posting, which need not be shuffled again
+    some = postings.where(may_match(shared.select("token"), shared.count())("token"))
+    own = some.join(shared, "token").groupBy("class").agg(
         F.first("prefix").alias("prefix"), F.first("counted").alias("counted"), F.collect_set(F.struct("df", "token")).alias("shared")
     )
     is_counted = lambda s: (s["token"] >= 0) & (s["token"] < bound)
@@ -208,8 +212,11 @@ def _links(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> Dat
             lambda b: F.struct((-F.col("unit").bitwiseAND((1 << 62) - 1) - 1).alias("share"), F.least(b, block).alias("i"), F.greatest(b, block).alias("j")),
         )
     )
-    wanted = rows.select(F.col("doc_id").alias("_id"), "class", "unit", keys.alias("keys"))
-    wanted = F.broadcast(wanted) if count <= BROADCAST_ROWS else wanted
+    wanted = rows.select(F.col("doc_id").alias("_id"), "class", "unit", "blocks")
+    if count <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
+    else:
+        docs = docs.where(may_match(rows.select("doc_id"), count)("doc_id"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -219,15 +226,14 @@ def _links(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> Dat
                 # a row of the same id with another text is another class
                 right = pa.array([len(s) > 0 and class_of(s) == c for s, c in zip(made, part.column("class").to_pylist(), strict=True)])
                 whole = pa.RecordBatch.from_arrays(
-                    [part.column("class"), part.column("unit"), part.column("keys"), pa.array([s.tobytes() for s in made], pa.binary())],
-                    ["class", "unit", "keys", "tokens"],
+                    [part.column("class"), part.column("unit"), part.column("blocks"), pa.array([s.tobytes() for s in made], pa.binary())],
+                    ["class", "unit", "blocks", "tokens"],
                 )
                 yield whole.filter(right)
 
-    key_type = "array<struct<share: bigint, i: int, j: int>>"
-    texts = docs.join(wanted, F.col("doc_id") == F.col("_id")).select("text", "class", "unit", "keys")
-    ready = texts.mapInArrow(sets, f"class bigint, unit bigint, keys {key_type}, tokens binary")
-    dealt = ready.select("class", "unit", "tokens", F.explode("keys").alias("k")).select("k.*", "class", "unit", "tokens")
+    texts = docs.join(wanted, F.col("doc_id") == F.col("_id")).select("text", "class", "unit", "blocks")
+    ready = texts.mapInArrow(sets, "class bigint, unit bigint, blocks int, tokens binary")
+    dealt = ready.select("class", "unit", "tokens", F.explode(keys).alias("k")).select("k.*", "class", "unit", "tokens")
 
     def verify(table: pa.Table) -> pa.Table:
         units, classes_ = table.column("unit").to_numpy(), table.column("class").to_numpy()

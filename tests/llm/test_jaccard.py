@@ -6,6 +6,7 @@ import re
 import pytest
 
 from termloom.llm import jaccard
+from termloom.session import may_match
 
 SF = "/root/testdata/sf0.001"
 
@@ -99,3 +100,25 @@ def test_keep_one_goes_by_rows(spark):
     assert got == sorted([(2, long), (5, own), (None, long), (None, None), (None, None), (9, ""), (9, ""), (7, "solo words are here now")], key=str)
     again = jaccard.keep_one(left)
     assert sorted(((r.doc_id, r.text) for r in again.collect()), key=str) == got
+
+
+def test_documents_without_a_candidate_are_not_shuffled(spark, monkeypatch):
+    """Beyond the rows that may be broadcast, a table of bits picks the documents to join."""
+    seen, plain = [], jaccard.may_match
+    monkeypatch.setattr(jaccard, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(jaccard, "may_match", lambda keys, n: seen.append((keys.columns, n)) or plain(keys, n))
+    rows = near_copies(4, 60) + [(7, "alone among all these texts"), (8, None)]
+    assert got(spark, rows, 3, 80) == brute(rows, 3, 80)
+    assert [columns for columns, _ in seen] == [["token"], ["doc_id"]] and 0 < seen[1][1] < len(rows)
+    texts = [(2, "a b c d e f g h"), (5, "a b c d e f g h"), (5, "solo words are here now"), (5, "solo words are here now"), (None, None)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    left = sorted(((r.doc_id, r.text) for r in jaccard.keep_one(docs).collect()), key=str)
+    assert left == sorted([texts[0], texts[2], texts[4]], key=str)
+
+
+def test_may_match(spark):
+    keys = spark.range(0, 6000, 3).withColumnRenamed("id", "key")
+    may = may_match(keys, 2000)
+    passed = {r.id for r in spark.range(6000).where(may("id")).collect()}
+    assert {*range(0, 6000, 3)} <= passed and len(passed) < 2100
+    assert spark.range(10).where(may_match(keys.where("key < 0"), 0)("id")).isEmpty()
