@@ -266,6 +266,16 @@ def _components(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, D
     return sets, materialise(placed, "placed")
 
 
+def _without(rows: DataFrame, out: DataFrame) -> DataFrame:
+    """``rows`` that have no partner in the stored table ``out`` of some of their columns. Of a long
+    table only rows that may have one are shuffled."""
+    keys, n = out.columns, out.count()
+    if n <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(out), keys, "left_anti")
+    may = may_match(out, n)(*keys)
+    return rows.where(~may).unionByName(rows.where(may).join(out, keys, "left_anti"))
+
+
 def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row: set size, and the smallest id that
     links reach. Sets link when their intersection is at least ``percent`` of their union.
@@ -300,7 +310,7 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words:
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     whole = whole.select("row", F.col("row").getField(doc_id).cast("bigint").alias("doc_id"), F.xxhash64(F.col("row").getField(text)).alias("text_key"))
     same = ["doc_id", "text_key"]
-    kept = whole.join(judged.select(*same), same, "left_anti")
+    kept = _without(whole, judged.select(*same))
     repeated = judged.where("stays").select(*same)
     if not repeated.isEmpty():
         once = whole.join(repeated, same, "left_semi").groupBy(*same).agg(F.first("row").alias("row"))
