@@ -3,6 +3,7 @@ import pyarrow as pa
 import pytest
 
 from termloom.functions import kernels as K
+from termloom.operators import kmeans
 
 
 def packed(x):
@@ -42,3 +43,19 @@ def test_a_broken_row_stays_with_its_cluster():
     x = np.array([[1.0, 2.0], [np.nan, 1.0], [3.0, np.inf]])
     got = K.cluster_sums(x, np.array([0, 1, 1]), 3)
     assert got[0].tolist() == [1.0, 2.0] and got[2].tolist() == [0.0, 0.0] and np.isnan(got[1, 0])
+
+
+def test_sizes_share_their_passes(spark, monkeypatch):
+    x = np.random.default_rng(6).normal(size=(120, 3))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, vec array<double>")
+    calls, real = [], kmeans._changes
+    monkeypatch.setattr(kmeans, "_changes", lambda *a: calls.append(len(a[2])) or real(*a))
+    alone, passes = [], []
+    for k in (2, 5):
+        alone.append(kmeans.fit(rows, k, repeats=2))
+        passes.append(len(calls))
+        calls.clear()
+    both = kmeans.fit_sizes(rows, (2, 5), repeats=2)
+    assert calls[0] == 4 and len(calls) < sum(passes)
+    for one, other in zip(alone, both):
+        assert one.n_iter == other.n_iter and one.converged == other.converged and np.allclose(one.means, other.means)
